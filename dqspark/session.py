@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,8 +66,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table in the shared work folder and return it
+    read back: one job computes it, later jobs reuse it, and its lineage is
+    cut, so a lost executor does not recompute the upstream plan."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["local_session", "ensure_conf", "work_dir", "scratch_path", "local_fs_path", "os"]
+__all__ = ["local_session", "ensure_conf", "work_dir", "scratch_path", "materialize", "local_fs_path"]

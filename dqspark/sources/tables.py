@@ -29,7 +29,13 @@ NULL_M3_EVERY = 17
 
 def readings_from_events(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
-    k = F.from_json(F.col("props"), "k INT").getField("k")
+    # Decode the JSON once in its own projection: Catalyst keeps a
+    # non-cheap expression that is referenced several times un-inlined.
+    events = events.select(
+        "event_id", "user_id", "event_type", "value", "ts",
+        F.from_json(F.col("props"), "k INT").getField("k").alias("_k"),
+    )
+    k = F.col("_k")
     return events.select(
         eid,
         F.col("user_id").cast("string").alias("subject"),
