@@ -23,3 +23,4 @@ from .serving import (  # noqa: F401
     trend_lookup,
 )
 from .trends import daily_report, predict_risk, trends  # noqa: F401
+from .rolling import count_window_anomalies  # noqa: F401,E402

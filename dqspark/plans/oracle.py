@@ -206,6 +206,24 @@ p AS (
   UNION ALL SELECT 'toxic', avg(CASE WHEN toxic IS NULL THEN 1.0 ELSE 0.0 END) * 100 FROM docs
 )
 SELECT field, round(null_pct, 6) AS null_pct, null_pct <= 5.0 AS passed FROM p"""
+    q["count_window_zscore"] = f"""WITH {READINGS},
+r AS (
+  SELECT event_id, entity, m1, m2,
+         CASE WHEN entity IS NOT NULL THEN avg(m1) OVER w END AS m1_mean,
+         CASE WHEN entity IS NOT NULL THEN stddev_samp(m1) OVER w END AS m1_stddev,
+         CASE WHEN entity IS NOT NULL THEN avg(m2) OVER w END AS m2_mean,
+         CASE WHEN entity IS NOT NULL THEN stddev_samp(m2) OVER w END AS m2_stddev
+  FROM readings
+  WINDOW w AS (PARTITION BY entity ORDER BY ts, event_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW)
+),
+z AS (
+  SELECT *, CASE WHEN m1_stddev IS NOT NULL AND m1_stddev > 0 THEN abs((m1 - m1_mean) / m1_stddev) ELSE 0 END AS m1_zscore,
+            CASE WHEN m2_stddev IS NOT NULL AND m2_stddev > 0 THEN abs((m2 - m2_mean) / m2_stddev) ELSE 0 END AS m2_zscore
+  FROM r
+)
+SELECT event_id, entity, round(m1_zscore, 6) AS m1_zscore, m1_zscore > 3 AS m1_anomaly,
+       round(m2_zscore, 6) AS m2_zscore, m2_zscore > 3 AS m2_anomaly
+FROM z"""
     q["window_stats"] = f"""WITH {READINGS}
 SELECT strftime(date_trunc('day', ts), {TS}) AS window_start,
        strftime(date_trunc('day', ts) + INTERVAL 1 DAY, {TS}) AS window_end,
