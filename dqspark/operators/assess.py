@@ -28,6 +28,9 @@ from ..session import materialize
 DEFAULT_BROADCAST_ROWS = 1_000_000
 # A (window, entity) group above this many rows is split over several join tasks.
 DEFAULT_HOT_ROWS = 5_000_000
+# Streaming: records of one (window, entity) are spread over this many join
+# state partitions.
+DEFAULT_STREAM_SALTS = 8
 
 WIN = "_w"
 
@@ -125,11 +128,12 @@ def attach_anomalies(
     rules: Rules,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     hot_rows: int = DEFAULT_HOT_ROWS,
+    stream_salts: int = DEFAULT_STREAM_SALTS,
 ) -> DataFrame:
     """J1 + W5/W6: join window statistics back to every record, add z-scores and
     anomaly flags.  Records with a NULL entity match no statistics (z = 0)."""
     if df.isStreaming:
-        return _attach_stream(df, rules)
+        return _attach_stream(df, rules, stream_salts)
     cols = df.columns
     rows = df.withColumn(WIN, window_start(F.col(rules.time), rules.window))
     stats = materialize(
@@ -145,10 +149,15 @@ def attach_anomalies(
     return _with_scores(out, rules)
 
 
-def _attach_stream(df: DataFrame, rules: Rules) -> DataFrame:
+def _attach_stream(df: DataFrame, rules: Rules, salts: int = DEFAULT_STREAM_SALTS) -> DataFrame:
     """Streaming plan: a single watermark on ``rules.time``; statistics are a
     windowed append-mode aggregate joined back on (window, entity).
 
+    The join buffers every record of an open window in state until the window
+    closes.  To keep a hot entity from filling one state partition, records
+    carry a deterministic salt in [0, salts) and each (tiny) statistics row is
+    replicated once per salt; the join key is (window, entity, salt).
+
     The original time column is carried as a copy taken before the watermark
     and restored after the join, because a stream-stream join output may hold
     only one event-time column (the window key).
@@ -161,7 +170,12 @@ def _attach_stream(df: DataFrame, rules: Rules) -> DataFrame:
         .withColumn(WIN, F.window(F.col(t), rules.window))
     )
     stats = e.groupBy(WIN, rules.entity).agg(*_stat_aggs(rules)).drop("n")
-    joined = e.drop(t).join(stats, [WIN, rules.entity], "left").withColumnRenamed("_event_ts", t)
+    keys = [WIN, rules.entity]
+    if salts > 1:
+        e = e.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salts)).cast("int"))
+        stats = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        keys = keys + ["_salt"]
+    joined = e.drop(t).join(stats, keys, "left").withColumnRenamed("_event_ts", t)
     out = joined.select(*cols, *stat_columns(rules))
     return _with_scores(out, rules)
 
