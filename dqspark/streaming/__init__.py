@@ -1,3 +1,11 @@
 """Structured Streaming: the single-query fan-out pipeline and its sinks."""
 
-from .pipeline import StreamSinks, await_any, batch_writer, issues_stream_writer, start_assessment, stop_all  # noqa: F401
+from .pipeline import (  # noqa: F401
+    StreamSinks,
+    await_any,
+    batch_writer,
+    issues_stream_writer,
+    run_stream,
+    start_assessment,
+    stop_all,
+)

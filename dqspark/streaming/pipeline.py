@@ -125,3 +125,33 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> bool:
 def stop_all(spark: SparkSession) -> None:
     for q in spark.streams.active:
         q.stop()
+
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def run_stream(
+    spark: SparkSession,
+    raw: DataFrame,
+    rules: Rules,
+    sinks: StreamSinks,
+    checkpoint: str,
+    trigger: dict | None = None,
+    rocksdb_state: bool = True,
+    wait: bool = True,
+):
+    """The streaming job: raw ``value`` messages (a broker topic via
+    ``topic_source`` or any other stream) -> decode -> assess -> sinks.
+
+    Must run before any other streaming query of the session when
+    ``rocksdb_state`` is set: the state store provider is fixed per query
+    at its first start (RocksDB keeps large window state off the JVM heap).
+    """
+    from ..sources.decode import decode_records
+
+    if rocksdb_state and not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    q = start_assessment(decode_records(raw), rules, sinks, checkpoint, trigger, query_name="dq-assessment")
+    if wait:
+        await_any(spark)
+    return q

@@ -125,3 +125,20 @@ def test_decode_malformed_and_timestamps(spark):
     broken = out[None]
     assert broken["age"] is None and broken["hospital"] is None and broken["ingestion_time"] is not None
     assert out["b"]["age"] is None  # a fraction in an int field -> NULL
+
+
+def test_run_stream_with_rocksdb_state(spark):
+    from dqspark.streaming import run_stream
+
+    root = tempfile.mkdtemp(prefix="dq-job-")
+    _write_lines(f"{root}/in", _records())
+    sinks = StreamSinks(lake=f"{root}/lake", summary=f"{root}/summary")
+    q = run_stream(
+        spark, text_stream(spark, f"{root}/in"), EVENT_RULES, sinks, f"{root}/ckpt",
+        trigger={"availableNow": True}, wait=False,
+    )
+    q.awaitTermination()
+    assert q.exception() is None
+    lake = spark.read.parquet(f"{root}/lake")
+    assert lake.count() > 150 and "ingestion_time" in lake.columns
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
