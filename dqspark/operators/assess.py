@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import checks, scoring
 from ..functions.timewin import window_end, window_start
 from ..rules import Rules
-from ..session import materialize
+from ..session import materialize_counted
 
 # Broadcast bound for the window-statistics side: ~100 B per stats row, so the
 # default keeps the broadcast relation near 100 MB.
@@ -136,11 +136,10 @@ def attach_anomalies(
         return _attach_stream(df, rules, stream_salts)
     cols = df.columns
     rows = df.withColumn(WIN, window_start(F.col(rules.time), rules.window))
-    stats = materialize(
+    stats, n_stats = materialize_counted(
         rows.filter(F.col(WIN).isNotNull()).groupBy(WIN, rules.entity).agg(*_stat_aggs(rules)),
         "window-stats",
     )
-    n_stats = stats.count()  # answered from the Parquet footers
     if n_stats <= broadcast_rows:
         joined = rows.join(F.broadcast(stats.drop("n")), [WIN, rules.entity], "left")
     else:

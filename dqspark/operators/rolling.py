@@ -12,9 +12,10 @@ the data - into one task.  Instead:
 3. cut ``g`` into blocks of N rows and also copy every row into the next
    block; the window of N rows ending at ``g`` then lies inside group
    (entity, block(g)), which holds at most 2N rows;
-4. inside each group, running count / sum / sum of squares (a growing frame,
-   O(1) per row) and ``lag(..., N)`` give the sums over exactly the last N
-   rows; only each group's own rows are kept.
+4. inside each group, running count / sum / sum of squares of the values
+   centred on the group mean (a growing frame, O(1) per row) and
+   ``lag(..., N)`` give the sums over exactly the last N rows; only each
+   group's own rows are kept.
 
 Rows with a NULL entity get no statistics (z = 0), as in the time-window check.
 """
@@ -71,9 +72,14 @@ def count_window_anomalies(
 
     w_order = Window.partitionBy(ent, "_grp").orderBy("_g")
     running = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # Values are centred on their group's mean before the running sums: the
+    # variance is shift-invariant, and the sums then carry no mean^2 term
+    # that would cancel against a small window variance.
+    both = both.select("*", *[F.avg(F.col(m).cast("double")).over(whole).alias(f"_m_{m}") for m in rules.anomaly])
     sums = []
     for m in rules.anomaly:
-        x = F.col(m).cast("double")
+        x = F.col(m).cast("double") - F.col(f"_m_{m}")
         sums += [
             F.count(x).over(running).alias(f"_c_{m}"),
             F.sum(x).over(running).alias(f"_s_{m}"),
@@ -92,7 +98,7 @@ def count_window_anomalies(
         cnt = F.col(f"_c_{m}") - F.col(f"_c0_{m}")
         s = F.col(f"_s_{m}") - F.col(f"_s0_{m}")
         q = F.col(f"_q_{m}") - F.col(f"_q0_{m}")
-        mean = F.when(cnt > 0, s / cnt)
+        mean = F.when(cnt > 0, F.col(f"_m_{m}") + s / cnt)
         var = F.when(cnt > 1, F.greatest((q - s * s / cnt) / (cnt - 1), F.lit(0.0)))
         stats += [mean.alias(f"{p}_mean"), F.sqrt(var).alias(f"{p}_stddev")]
     keyed_out = acc.select(*cols, *stats)

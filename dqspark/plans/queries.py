@@ -260,7 +260,24 @@ def q_fresh_metrics(spark, sf_dir):
     return present(ops.fresh(pub, DAILY_AS_OF, DAILY_TTL))
 
 
+def _with_conf(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Pin the session settings the queries rely on (UTC, AQE) first: the
+    caller may hand in a session configured otherwise."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_conf(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: _with_conf(fn) for name, fn in _registry().items()}
+
+
+def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from ..streaming.queries import q_stream_assess, q_stream_summary
 
     return {

@@ -70,13 +70,23 @@ def materialize(df, name: str):
     """Write ``df`` as a Parquet table in the shared work folder and return it
     read back: one job computes it, later jobs reuse it, and its lineage is
     cut, so a lost executor does not recompute the upstream plan."""
+    return materialize_counted(df, name)[0]
+
+
+def materialize_counted(df, name: str):
+    """``materialize`` that also returns the row count, observed while the
+    table is written (no second job)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    obs = Observation(f"{name}-rows")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.parquet(path), int(obs.get["rows"])
 
 
 def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["local_session", "ensure_conf", "work_dir", "scratch_path", "materialize", "local_fs_path"]
+__all__ = ["local_session", "ensure_conf", "work_dir", "scratch_path", "materialize", "materialize_counted", "local_fs_path"]
