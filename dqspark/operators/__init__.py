@@ -10,7 +10,14 @@ from .assess import (  # noqa: F401
     window_stats,
     with_severity,
 )
-from .metrics import batch_summary, daily_metrics, entity_comparison, null_percentage, problem_subjects  # noqa: F401
+from .metrics import (  # noqa: F401
+    batch_summary,
+    daily_metrics,
+    entity_comparison,
+    entity_comparison_from_daily,
+    null_percentage,
+    problem_subjects,
+)
 from .serving import (  # noqa: F401
     critical_entities,
     current_status,

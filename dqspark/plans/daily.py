@@ -16,6 +16,7 @@ from ..functions.scoring import issue_risk
 from ..operators import (
     daily_metrics,
     entity_comparison,
+    entity_comparison_from_daily,
     latest_per_entity,
     predict_risk,
     problem_subjects,
@@ -75,7 +76,7 @@ def run_daily(
         "predicted_issue_risk", issue_risk(F.col("trend_direction"), F.col("quality_variance"))
     )
     publish(stamp(with_risk, written_at), f"{out_path}/trends")
-    publish(res.comparison, f"{out_path}/comparison")
+    publish(entity_comparison_from_daily(daily, rules), f"{out_path}/comparison")  # no second lake scan
     publish(res.problems, f"{out_path}/problems")
     if show:  # S11: display only in the job entry point
         for name in ("daily", "latest", "trends", "comparison", "problems"):

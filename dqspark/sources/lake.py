@@ -17,11 +17,21 @@ def with_date(df: DataFrame, rules: Rules) -> DataFrame:
     return df.withColumn(DATE, F.to_date(F.col(rules.time)))
 
 
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
 def write_lake(assessed: DataFrame, path: str, rules: Rules, mode: str = "append") -> None:
-    """Batch write.  Rows are clustered by date before the write so each task
-    writes few files per partition directory."""
+    """Batch write.  Rows are range-partitioned on (date, time) first: each task
+    writes into one or two date directories, and a hot date is split over
+    several tasks instead of landing in one (as ``repartition(date)`` would)."""
     df = with_date(assessed, rules)
-    df.repartition(DATE).write.mode(mode).partitionBy(DATE).parquet(path)
+    (
+        df.repartitionByRange(DATE, rules.time)
+        .write.mode(mode)
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .partitionBy(DATE)
+        .parquet(path)
+    )
 
 
 def lake_stream_writer(assessed: DataFrame, path: str, checkpoint: str, rules: Rules, trigger: dict | None = None):
