@@ -51,7 +51,13 @@ def batch_writer(rules: Rules, sinks: StreamSinks, ingest_col: str | None = None
         try:
             if batch.isEmpty():
                 return
-            rows = with_date(batch, rules).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            # range-partition on (date, time): each task writes one or two date
+            # directories (few files), and a hot date still spreads over tasks
+            rows = (
+                with_date(batch, rules)
+                .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                .repartitionByRange("date", rules.time)
+            )
             _overwrite_partitions(rows, sinks.lake, ["date", "batch_id"])
             issues = with_severity(extract_issues(batch, rules, ingest_col))
             if sinks.issues:
