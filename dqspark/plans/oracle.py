@@ -328,6 +328,29 @@ lim AS (SELECT max(ts) - INTERVAL 10 MINUTE AS wm FROM events)
 SELECT event_id, entity, round(m1_zscore, 6) AS m1_zscore, m1_anomaly, round(m2_zscore, 6) AS m2_zscore, m2_anomaly,
        has_issues, quality_score
 FROM scored, lim WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= lim.wm"""
+    q["stream_summary"] = f"""WITH {SCORED},
+lim AS (SELECT max(ts) - INTERVAL 10 MINUTE AS wm FROM events),
+closed AS (SELECT * FROM scored, lim WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= lim.wm)
+SELECT 'entity' AS level, entity, count(*) AS records, count(*) FILTER (WHERE has_issues) AS flagged_issues
+FROM closed GROUP BY entity
+UNION ALL
+SELECT 'total', NULL, count(*), count(*) FILTER (WHERE has_issues) FROM closed"""
+    q["issue_json"] = f"""WITH {ISSUES}
+SELECT '{{' || concat_ws(',',
+    CASE WHEN subject IS NOT NULL THEN '"subject":"' || subject || '"' END,
+    CASE WHEN entity IS NOT NULL THEN '"entity":"' || entity || '"' END,
+    CASE WHEN m1 IS NOT NULL THEN '"m1":' || CAST(round(m1, 6) AS VARCHAR) END,
+    CASE WHEN m2 IS NOT NULL THEN '"m2":' || CAST(m2 AS VARCHAR) END,
+    CASE WHEN m3 IS NOT NULL THEN '"m3":' || CAST(round(m3, 6) AS VARCHAR) END,
+    '"quality_score":' || CAST(quality_score AS VARCHAR),
+    '"completeness_score":' || CAST(completeness_score AS VARCHAR),
+    CASE WHEN m1_valid IS NOT NULL THEN '"m1_valid":' || CAST(m1_valid AS VARCHAR) END,
+    CASE WHEN m2_valid IS NOT NULL THEN '"m2_valid":' || CAST(m2_valid AS VARCHAR) END,
+    CASE WHEN m3_valid IS NOT NULL THEN '"m3_valid":' || CAST(m3_valid AS VARCHAR) END,
+    CASE WHEN m1_anomaly IS NOT NULL THEN '"m1_anomaly":' || CAST(m1_anomaly AS VARCHAR) END,
+    CASE WHEN m2_anomaly IS NOT NULL THEN '"m2_anomaly":' || CAST(m2_anomaly AS VARCHAR) END,
+    '"detected_at":"' || strftime(detected_at, {TS}) || '"') || '}}' AS value
+FROM issues"""
     return q
 
 
