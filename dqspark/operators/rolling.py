@@ -65,10 +65,10 @@ def count_window_anomalies(
     )
     g = numbered.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid").withColumn("_g", F.col("_off") + pos)
 
+    # one scan: every row goes to its own block and, as history, to the next
     blk = F.floor(F.col("_g") / F.lit(n))
-    own = g.withColumn("_grp", blk).withColumn("_own", F.lit(True))
-    nxt = g.withColumn("_grp", blk + 1).withColumn("_own", F.lit(False))
-    both = own.unionByName(nxt)
+    both = g.withColumn("_blk", blk).withColumn("_grp", F.explode(F.array(blk, blk + 1)))
+    both = both.withColumn("_own", F.col("_grp") == F.col("_blk")).drop("_blk")
 
     w_order = Window.partitionBy(ent, "_grp").orderBy("_g")
     running = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
