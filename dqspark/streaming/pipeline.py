@@ -121,7 +121,9 @@ def issues_stream_writer(assessed: DataFrame, rules: Rules, checkpoint: str, fmt
 
 
 def await_any(spark: SparkSession, timeout: float | None = None) -> bool:
-    """Block until any query ends (or ``timeout`` seconds)."""
+    """Block until any query ends (or ``timeout`` seconds).  Queries that
+    ended before the call are forgotten first, so it waits for a new end."""
+    spark.streams.resetTerminated()
     if timeout is None:
         spark.streams.awaitAnyTermination()
         return True
@@ -159,5 +161,7 @@ def run_stream(
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     q = start_assessment(decode_records(raw), rules, sinks, checkpoint, trigger, query_name="dq-assessment")
     if wait:
-        await_any(spark)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"assessment stream failed: {q.exception()}")
     return q
