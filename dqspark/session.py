@@ -82,7 +82,8 @@ def materialize_counted(df, name: str):
     path = scratch_path(df.sparkSession, name)
     obs = Observation(f"{name}-rows")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return df.sparkSession.read.parquet(path), int(obs.get["rows"])
+    # read back with the known schema: no footer read for schema inference
+    return df.sparkSession.read.schema(df.schema).parquet(path), int(obs.get["rows"])
 
 
 def local_fs_path(path: str) -> str:
