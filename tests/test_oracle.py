@@ -67,3 +67,14 @@ def test_properties(spark):
     d = daily_metrics(a, R)
     assert d.filter((F.col("issue_rate") < 0) | (F.col("issue_rate") > 100)).count() == 0
     assert d.agg(F.sum("total_records")).first()[0] == a.count()
+
+
+def test_queries_pin_utc_on_foreign_session(spark, con):
+    """A caller's session in another time zone still gets UTC results."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(spark, "daily_metrics", SF_SMALL, con)
+        assert r["hash_match"], r
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
