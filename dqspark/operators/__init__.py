@@ -21,6 +21,8 @@ from .metrics import (  # noqa: F401
 from .serving import (  # noqa: F401
     critical_entities,
     current_status,
+    daily_documents,
+    trend_documents,
     fresh,
     issues_by_severity,
     latest_per_entity,

@@ -106,3 +106,38 @@ def current_status(summaries: DataFrame, as_of=None, ttl_seconds: int | None = N
         F.col("s.flagged_issues").alias("flagged_issues"),
         F.col("s.avg_quality_score").alias("avg_quality_score"),
     )
+
+
+# Field names of the published documents, as the consumers of
+# the source application read them.
+#   daily metrics: hospital, avgQualityScore, issueRate, totalRecords, healthStatus, timestamp
+#   trend: hospital, date, dailyScore, ma7Score, trendDirection, qualityChange, predictionRisk
+DOC_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def daily_documents(published: DataFrame, rules: Rules, written_col: str = "written_at") -> DataFrame:
+    """S10 document form: one JSON document per entity in ``value`` (keyed by
+    the entity), from the latest-per-entity table stamped with ``written_at``."""
+    doc = F.struct(
+        F.col(rules.entity).alias("hospital"),
+        F.col("avg_quality_score").alias("avgQualityScore"),
+        F.col("issue_rate").alias("issueRate"),
+        F.col("total_records").alias("totalRecords"),
+        F.col("health_status").alias("healthStatus"),
+        F.date_format(F.col(written_col), DOC_TS).alias("timestamp"),
+    )
+    return published.select(F.col(rules.entity).alias("key"), F.to_json(doc).alias("value"))
+
+
+def trend_documents(trend_df: DataFrame, rules: Rules) -> DataFrame:
+    """Trend documents (latest trend per entity, with its risk), keyed by entity."""
+    doc = F.struct(
+        F.col(rules.entity).alias("hospital"),
+        F.date_format(F.col("date"), "yyyy-MM-dd").alias("date"),
+        F.col("avg_quality_score").alias("dailyScore"),
+        F.col("ma7_quality_score").alias("ma7Score"),
+        F.col("trend_direction").alias("trendDirection"),
+        F.col("quality_change").alias("qualityChange"),
+        scoring.issue_risk(F.col("trend_direction"), F.col("quality_variance")).alias("predictionRisk"),
+    )
+    return trend_df.select(F.col(rules.entity).alias("key"), F.to_json(doc).alias("value"))

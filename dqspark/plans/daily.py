@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import issue_risk
 from ..operators import (
+    daily_documents,
     daily_metrics,
     entity_comparison,
     entity_comparison_from_daily,
     latest_per_entity,
     predict_risk,
     problem_subjects,
+    trend_documents,
     trends,
 )
 from ..rules import Rules
@@ -62,7 +64,8 @@ def run_daily(
     written_at=None,
 ) -> DailyResults:
     """Compute and publish: ``daily`` (all days), ``latest`` (newest day per
-    entity, S10), ``trends`` (with risk), ``comparison``, ``problems``."""
+    entity, S10), ``trends`` (with risk), ``comparison``, ``problems`` and
+    ``documents`` (JSON key/value documents of the latest metrics and trends)."""
     assessed = read_lake(spark, lake_path, run_date)
     res = daily_results(assessed, rules, run_date)
     daily_path = f"{out_path}/daily"
@@ -76,6 +79,13 @@ def run_daily(
         "predicted_issue_risk", issue_risk(F.col("trend_direction"), F.col("quality_variance"))
     )
     publish(stamp(with_risk, written_at), f"{out_path}/trends")
+    # the same, as key/value documents (what a cache consumer reads)
+    latest = spark.read.parquet(f"{out_path}/latest")
+    latest_trends = latest_per_entity(spark.read.parquet(f"{out_path}/trends"), rules)
+    docs = daily_documents(latest, rules).withColumn("kind", F.lit("daily")).unionByName(
+        trend_documents(latest_trends, rules).withColumn("kind", F.lit("trend"))
+    )
+    docs.write.mode("overwrite").json(f"{out_path}/documents")
     publish(entity_comparison_from_daily(daily, rules), f"{out_path}/comparison")  # no second lake scan
     publish(res.problems, f"{out_path}/problems")
     if show:  # S11: display only in the job entry point

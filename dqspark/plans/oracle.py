@@ -351,6 +351,31 @@ SELECT '{{' || concat_ws(',',
     CASE WHEN m2_anomaly IS NOT NULL THEN '"m2_anomaly":' || CAST(m2_anomaly AS VARCHAR) END,
     '"detected_at":"' || strftime(detected_at, {TS}) || '"') || '}}' AS value
 FROM issues"""
+    q["published_documents"] = f"""WITH {TRENDS},
+lt AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY date DESC) AS rn
+                      FROM trends WHERE entity IS NOT NULL) t WHERE rn = 1)
+SELECT entity AS key, '{{' || concat_ws(',',
+    '"hospital":"' || entity || '"',
+    '"avgQualityScore":' || CAST(round(avg_quality_score, 6) AS VARCHAR),
+    '"issueRate":' || CAST(round(issue_rate, 6) AS VARCHAR),
+    '"totalRecords":' || CAST(total_records AS VARCHAR),
+    '"healthStatus":"' || health_status || '"',
+    '"timestamp":"' || strftime(CAST(date AS TIMESTAMP) + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S.%f') || '"') || '}}' AS value,
+    'daily' AS kind
+FROM lt
+UNION ALL
+SELECT entity, '{{' || concat_ws(',',
+    '"hospital":"' || entity || '"',
+    '"date":"' || strftime(date, '%Y-%m-%d') || '"',
+    '"dailyScore":' || CAST(round(avg_quality_score, 6) AS VARCHAR),
+    '"ma7Score":' || CAST(round(ma7_quality_score, 6) AS VARCHAR),
+    '"trendDirection":"' || trend_direction || '"',
+    '"qualityChange":' || CAST(round(quality_change, 6) AS VARCHAR),
+    '"predictionRisk":' || CASE WHEN trend_direction = 'degrading' AND quality_variance > 10 THEN '0.8'
+                                WHEN trend_direction = 'degrading' THEN '0.6'
+                                WHEN trend_direction = 'improving' AND quality_variance < 5 THEN '0.2'
+                                ELSE '0.4' END) || '}}', 'trend'
+FROM lt"""
     return q
 
 

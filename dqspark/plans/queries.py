@@ -273,6 +273,17 @@ def _with_conf(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
     return run
 
 
+def q_published_documents(spark, sf_dir):
+    """Daily and trend documents for every entity's latest day, stamped with
+    the end of that day."""
+    daily = present(_daily(spark, sf_dir))
+    pub = ops.latest_per_entity(daily, R)
+    pub = pub.withColumn("written_at", F.timestamp_seconds(F.unix_date(F.col("date")).cast("bigint") * 86400 + 86400))
+    tr = present(ops.latest_per_entity(ops.trends(_daily(spark, sf_dir), R), R))
+    docs = ops.daily_documents(pub, R).withColumn("kind", F.lit("daily"))
+    return docs.unionByName(ops.trend_documents(tr, R).withColumn("kind", F.lit("trend")))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _with_conf(fn) for name, fn in _registry().items()}
 
@@ -309,6 +320,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "issues_by_severity": q_issues_by_severity,
         "current_status": q_current_status,
         "fresh_metrics": q_fresh_metrics,
+        "published_documents": q_published_documents,
         "stream_assess": q_stream_assess,
         "stream_summary": q_stream_summary,
     }

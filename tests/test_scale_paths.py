@@ -63,6 +63,9 @@ def test_lake_partition_pruning_and_daily_job(spark):
     tr = spark.read.parquet(f"{root}/out/trends")
     assert tr.select("date").distinct().count() == 1 and "predicted_issue_risk" in tr.columns
     assert spark.read.parquet(f"{root}/out/problems").count() == 10
+    docs = spark.read.json(f"{root}/out/documents")
+    assert docs.filter("kind = 'daily'").count() == 5 and docs.filter("kind = 'trend'").count() == 5
+    assert '"healthStatus"' in docs.filter("kind = 'daily'").first()["value"]
     assert res.daily.agg(F.sum("total_records")).first()[0] == lake.count()
 
 
