@@ -9,9 +9,9 @@ the data - into one task.  Instead:
    (partition, position); a table with one row per partition turns it into a
    global index ``g`` (the numbered rows are written once to the shared work
    folder, so a recomputed task cannot renumber them);
-3. cut ``g`` into blocks of N rows and also copy every row into the next
-   block; the window of N rows ending at ``g`` then lies inside group
-   (entity, block(g)), which holds at most 2N rows;
+3. cut ``g`` into blocks of N rows and also copy every row (key and
+   measures only) into the next block; the window of N rows ending at ``g``
+   then lies inside group (entity, block(g)), which holds at most 2N rows;
 4. inside each group, running count / sum / sum of squares of the values
    centred on the group mean (a growing frame, O(1) per row) and
    ``lag(..., N)`` give the sums over exactly the last N rows; only each
@@ -65,10 +65,14 @@ def count_window_anomalies(
     )
     g = numbered.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid").withColumn("_g", F.col("_off") + pos)
 
-    # one scan: every row goes to its own block and, as history, to the next
+    # every row goes to its own block with all its columns, and to the next
+    # block as history with only the key and the measures (the history branch
+    # reads just those columns), so the shuffle carries each row's full width
+    # once
     blk = F.floor(F.col("_g") / F.lit(n))
-    both = g.withColumn("_blk", blk).withColumn("_grp", F.explode(F.array(blk, blk + 1)))
-    both = both.withColumn("_own", F.col("_grp") == F.col("_blk")).drop("_blk")
+    own = g.withColumn("_grp", blk).withColumn("_own", F.lit(True))
+    hist = g.select(ent, "_g", *rules.anomaly, (blk + 1).alias("_grp"), F.lit(False).alias("_own"))
+    both = own.unionByName(hist, allowMissingColumns=True)
 
     w_order = Window.partitionBy(ent, "_grp").orderBy("_g")
     running = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
