@@ -89,3 +89,35 @@ def test_lake_write_splits_hot_dates(spark):
     lake = spark.read.parquet(f"{root}/lake")
     assert lake.count() == 10000
     assert len({f.rsplit("/", 2)[-2] for f in lake.inputFiles()}) == 30  # every date directory written
+
+
+def test_salting_spreads_a_hot_group(spark):
+    """Half of all rows in one (window, entity) group: on the shuffle path the
+    group is split over several join tasks instead of one."""
+    from dataclasses import replace
+
+    rules = replace(R, window="30 days")
+    ev = event_readings(spark, SF).withColumn(
+        "entity", F.when(F.col("event_id") % 2 == 0, F.lit("hot")).otherwise(F.col("entity"))
+    )
+    rows = assess_rows(ev, rules)
+    conf = {
+        "spark.sql.adaptive.skewJoin.enabled": "false",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    prev = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = attach_anomalies(rows, rules, broadcast_rows=0, hot_rows=500)
+        per_task = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        ref = {r["event_id"]: r["m1_zscore"] for r in attach_anomalies(rows, rules).select("event_id", "m1_zscore").collect()}
+        got = {r["event_id"]: r["m1_zscore"] for r in out.select("event_id", "m1_zscore").collect()}
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+    assert sum(per_task) == 10000
+    assert max(per_task) < 0.35 * 10000  # the 5,000-row hot group is not in one task
+    assert got.keys() == ref.keys()
+    assert all(abs((got[k] or 0) - (ref[k] or 0)) < 1e-9 for k in ref)
