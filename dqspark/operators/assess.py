@@ -5,12 +5,13 @@
 work on batch and streaming DataFrames; only the anomaly join differs:
 
 * batch  – statistics per (tumbling window, entity) are aggregated with
-  partial (map-side) aggregation, checkpointed, counted, and joined back by
-  broadcast when that count is under a bound, so raw rows never shuffle and a
-  hot entity costs nothing extra.  Above the bound the join shuffles and the
-  hot (window, entity) groups are salted (see ``_salted_join``).
+  partial (map-side) aggregation, written once to the shared work folder
+  (their row count observed during the write), and joined back by broadcast
+  when that count is under a bound, so raw rows never shuffle and a hot
+  entity costs nothing extra.  Above the bound the join shuffles and the hot
+  (window, entity) groups are salted (see ``_salted_join``).
 * stream – one watermark, statistics as a windowed streaming aggregate,
-  joined back with a stream-stream left join on (window, entity).
+  joined back with a stream-stream left join on (window, entity, salt).
 """
 
 from __future__ import annotations
@@ -89,7 +90,7 @@ def _with_scores(df: DataFrame, rules: Rules) -> DataFrame:
     return df.select("*", scoring.quality_score(rules))
 
 
-def _salted_join(rows: DataFrame, stats: DataFrame, rules: Rules, hot_rows: int, broadcast_rows: int) -> DataFrame:
+def _salted_join(rows: DataFrame, stats: DataFrame, rules: Rules, hot_rows: int, hot_list_rows: int) -> DataFrame:
     """Shuffle join for when the statistics side is too big to broadcast.
 
     Groups with more than ``hot_rows`` rows are split: their rows get a random
@@ -100,13 +101,20 @@ def _salted_join(rows: DataFrame, stats: DataFrame, rules: Rules, hot_rows: int,
     recomputed task after executor loss stays correct.
     """
     keys = [WIN, rules.entity]
-    hot = stats.filter(F.col("n") > F.lit(hot_rows)).select(
-        *keys, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias("_salts")
-    )
-    n_hot = hot.count()
+    while True:
+        hot = stats.filter(F.col("n") > F.lit(hot_rows)).select(
+            *keys, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias("_salts")
+        )
+        n_hot = hot.count()
+        # The hot-key list must be broadcast: joining it by shuffle would put
+        # the hot keys' records back into one task.  It holds at most
+        # total_rows / hot_rows keys, so raising the threshold shrinks it fast.
+        if n_hot <= max(hot_list_rows, 1):
+            break
+        hot_rows *= 2
     if n_hot == 0:
         return rows.join(stats.drop("n"), keys, "left")
-    hot_side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
+    hot_side = F.broadcast(hot)
     rows = rows.join(hot_side, keys, "left").withColumn(
         "_salt",
         F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
@@ -129,6 +137,7 @@ def attach_anomalies(
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     hot_rows: int = DEFAULT_HOT_ROWS,
     stream_salts: int = DEFAULT_STREAM_SALTS,
+    hot_list_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """J1 + W5/W6: join window statistics back to every record, add z-scores and
     anomaly flags.  Records with a NULL entity match no statistics (z = 0)."""
@@ -143,7 +152,7 @@ def attach_anomalies(
     if n_stats <= broadcast_rows:
         joined = rows.join(F.broadcast(stats.drop("n")), [WIN, rules.entity], "left")
     else:
-        joined = _salted_join(rows, stats, rules, hot_rows, broadcast_rows)
+        joined = _salted_join(rows, stats, rules, hot_rows, hot_list_rows)
     out = joined.select(*cols, *stat_columns(rules))
     return _with_scores(out, rules)
 
@@ -183,9 +192,7 @@ def assess(df: DataFrame, rules: Rules, **kw) -> DataFrame:
     """Full assessment: P1-P7 plus anomalies; batch or streaming."""
     rows = assess_rows(df, rules)
     if not rules.anomaly:
-        out = rows
-        out = out.select("*", scoring.has_issues(rules))
-        return out.select("*", scoring.quality_score(rules))
+        return score_only(rows, rules)
     return attach_anomalies(rows, rules, **kw)
 
 
