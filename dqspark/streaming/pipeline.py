@@ -89,14 +89,18 @@ def start_assessment(
     trigger: dict | None = None,
     ingest_col: str | None = None,
     query_name: str | None = None,
+    state_partitions: int | None = None,
 ):
     """Assess a streaming DataFrame and start the single fan-out query.
 
     ``trigger`` defaults to a 1-minute processing-time trigger; use
     ``{"availableNow": True}`` for a bounded run over what has arrived.
-    ``spark.sql.shuffle.partitions`` must be fixed before the first start:
-    the state layout is pinned to it by the checkpoint.
+    The state layout is pinned by the checkpoint to the shuffle partition
+    count at the first start: ``state_partitions`` sets it for this query
+    only (default: the session's ``spark.sql.shuffle.partitions``).  Size it
+    to the state, not to the batch jobs of the same session.
     """
+    spark = records.sparkSession
     assessed = assess(records, rules)
     w = assessed.writeStream.foreachBatch(batch_writer(rules, sinks, ingest_col)).option(
         "checkpointLocation", checkpoint
@@ -104,7 +108,15 @@ def start_assessment(
     if query_name:
         w = w.queryName(query_name)
     w = w.outputMode("append").trigger(**(trigger or {"processingTime": "1 minute"}))
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    key = "spark.sql.shuffle.partitions"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return w.start()  # the query keeps a snapshot of the conf taken here
+    finally:
+        spark.conf.set(key, prev)
 
 
 def issues_stream_writer(assessed: DataFrame, rules: Rules, checkpoint: str, fmt: str = "console", options: dict | None = None):

@@ -38,6 +38,9 @@ def run_bounded(spark: SparkSession, sf_dir: str) -> str:
         sinks,
         checkpoint=f"{root}/checkpoint",
         trigger={"availableNow": True},
+        # state sized to the cluster's cores rather than to whatever the
+        # session uses for large batch shuffles
+        state_partitions=spark.sparkContext.defaultParallelism,
     )
     q.awaitTermination()
     if q.exception() is not None:
