@@ -52,6 +52,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--trigger", default="1 minute", help="processing-time interval, or 'available-now'")
     s.add_argument("--console", action="store_true")
+    s.add_argument("--state-partitions", type=int, help="state partition count (fixed at the first start)")
     d = sub.choices["daily"]
     d.add_argument("--out", required=True)
     d.add_argument("--run-date")
@@ -72,7 +73,7 @@ def main(argv: list[str] | None = None) -> None:
     raw = topic_source(spark, a.servers, a.topic) if a.source == "kafka" else text_stream(spark, a.input)
     trigger = {"availableNow": True} if a.trigger == "available-now" else {"processingTime": a.trigger}
     sinks = StreamSinks(lake=a.lake, issues=a.issues, summary=a.summary, console=a.console)
-    run_stream(spark, raw, rules, sinks, a.checkpoint, trigger=trigger)
+    run_stream(spark, raw, rules, sinks, a.checkpoint, trigger=trigger, state_partitions=a.state_partitions)
 
 
 if __name__ == "__main__":

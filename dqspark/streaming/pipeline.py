@@ -159,6 +159,7 @@ def run_stream(
     trigger: dict | None = None,
     rocksdb_state: bool = True,
     wait: bool = True,
+    state_partitions: int | None = None,
 ):
     """The streaming job: raw ``value`` messages (a broker topic via
     ``topic_source`` or any other stream) -> decode -> assess -> sinks.
@@ -171,7 +172,10 @@ def run_stream(
 
     if rocksdb_state and not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    q = start_assessment(decode_records(raw), rules, sinks, checkpoint, trigger, query_name="dq-assessment")
+    q = start_assessment(
+        decode_records(raw), rules, sinks, checkpoint, trigger,
+        query_name="dq-assessment", state_partitions=state_partitions,
+    )
     if wait:
         q.awaitTermination()
         if q.exception() is not None:

@@ -45,7 +45,7 @@ def test_stream_then_daily_job(spark):
             fh.write(json.dumps(rec) + "\n")
     main(["stream", "--rules", f"{root}/rules.yaml", "--time", "timestamp", "--source", "text", "--input", f"{root}/in",
           "--lake", f"{root}/lake", "--summary", f"{root}/summary", "--checkpoint", f"{root}/ckpt",
-          "--trigger", "available-now"])
+          "--trigger", "available-now", "--state-partitions", "4"])
     lake = spark.read.parquet(f"{root}/lake")
     assert lake.count() > 700
     main(["daily", "--rules", f"{root}/rules.yaml", "--time", "timestamp", "--lake", f"{root}/lake", "--out", f"{root}/out"])
