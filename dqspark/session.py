@@ -24,6 +24,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         {
             "spark.sql.shuffle.partitions": str(shuffle_partitions),
             "spark.ui.enabled": "false",
+            # call-site capture on every DataFrame/Column call is for
+            # interactive debugging; it costs several JVM round trips each
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
             "spark.sql.execution.arrow.pyspark.enabled": "true",
