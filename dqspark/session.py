@@ -49,19 +49,27 @@ def ensure_conf(spark: SparkSession) -> None:
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is
-    unset (local tests) is a fresh local folder created and registered.
+    Read from the session's ``spark.checkpoint.dir`` (set by the cluster).
+    Only when it is unset (local tests) is a fresh local folder created and
+    registered.  The SparkContext is consulted only as a fallback, so this
+    also works where there is none (Spark Connect).
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d.rstrip("/")
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="dqspark-ckpt-")
-    sc.setCheckpointDir(d)
-    got = sc.getCheckpointDir() or d
-    return got.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, and no dir configured
+        sc = None
+    if sc is not None:
+        d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+        if d:
+            return d.rstrip("/")
+    d = tempfile.mkdtemp(prefix="dqspark-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(d)
+        return (sc.getCheckpointDir() or d).rstrip("/")
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
