@@ -24,6 +24,13 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _cores(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: no SparkContext
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def run_bounded(spark: SparkSession, sf_dir: str) -> str:
     """Run the pipeline once over what is in ``sf_dir`` (cached per session)."""
     key = (id(spark), sf_dir)
@@ -40,7 +47,7 @@ def run_bounded(spark: SparkSession, sf_dir: str) -> str:
         trigger={"availableNow": True},
         # state sized to the cluster's cores rather than to whatever the
         # session uses for large batch shuffles
-        state_partitions=spark.sparkContext.defaultParallelism,
+        state_partitions=_cores(spark),
     )
     q.awaitTermination()
     if q.exception() is not None:
