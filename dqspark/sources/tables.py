@@ -73,7 +73,8 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(labels, "doc_id", "left")
 
 
-# Rules for labelled documents.
+# Rules for labelled documents.  Documents carry no time
+# column and no anomaly measure: only the row checks and the score apply.
 DOCUMENT_RULES = Rules(
     required=("doc_id", "lang", "quality", "toxic"),
     ranges=(("n_chars", Range(1.0, 100000.0)), ("quality", Range(0.0, 1.0)), ("toxic", Range(0.0, 0.0))),
