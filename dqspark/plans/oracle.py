@@ -98,8 +98,9 @@ trends AS (
   FROM tr
 )"""
 
+# "+ 0.0" turns a rounded -0.0 (float noise below zero) into 0.0, as Spark's round does
 TREND_COLS = DAILY_COLS + """, round(ma7_quality_score, 6) AS ma7_quality_score, round(ma7_issue_rate, 6) AS ma7_issue_rate,
-  trend_direction, round(quality_change, 6) AS quality_change"""
+  trend_direction, round(quality_change, 6) + 0.0 AS quality_change"""
 
 LATEST = DAILY + """,
 latest AS (
@@ -251,6 +252,33 @@ SELECT l_returnflag, CAST(ship_ts AS DATE) AS date, count(*) AS total_records,
        CASE WHEN avg(quality_score) >= 95 THEN 'excellent' WHEN avg(quality_score) >= 85 THEN 'good'
             WHEN avg(quality_score) >= 70 THEN 'fair' ELSE 'poor' END AS health_status
 FROM li_s GROUP BY 1, 2"""
+    q["problem_orders_lineitem"] = f"""WITH {LINEITEM}
+SELECT order_id, l_returnflag, count(*) AS count FROM li_s WHERE has_issues
+GROUP BY order_id, l_returnflag ORDER BY count DESC, order_id ASC NULLS LAST, l_returnflag ASC NULLS LAST LIMIT 10"""
+    q["trends_lineitem"] = f"""WITH {LINEITEM},
+d AS (
+  SELECT l_returnflag, CAST(ship_ts AS DATE) AS date, count(*) AS total_records,
+         count(*) FILTER (WHERE has_issues) AS records_with_issues,
+         avg(quality_score) AS avg_quality_score, max(quality_score) AS max_quality_score,
+         min(quality_score) AS min_quality_score, stddev_samp(quality_score) AS quality_variance,
+         count(*) FILTER (WHERE has_issues) / count(*) * 100.0 AS issue_rate
+  FROM li_s GROUP BY 1, 2
+),
+m AS (
+  SELECT *, CASE WHEN avg_quality_score >= 95 THEN 'excellent' WHEN avg_quality_score >= 85 THEN 'good'
+                 WHEN avg_quality_score >= 70 THEN 'fair' ELSE 'poor' END AS health_status,
+         avg(avg_quality_score) OVER (PARTITION BY l_returnflag ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS ma7_quality_score,
+         avg(issue_rate) OVER (PARTITION BY l_returnflag ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS ma7_issue_rate
+  FROM d
+),
+t AS (SELECT *, lag(ma7_quality_score, 1, 0.0) OVER (PARTITION BY l_returnflag ORDER BY date) AS prev FROM m)
+SELECT l_returnflag, date, total_records, records_with_issues, round(avg_quality_score, 6) AS avg_quality_score,
+       max_quality_score, min_quality_score, round(quality_variance, 6) AS quality_variance,
+       round(issue_rate, 6) AS issue_rate, health_status, round(ma7_quality_score, 6) AS ma7_quality_score,
+       round(ma7_issue_rate, 6) AS ma7_issue_rate,
+       CASE WHEN ma7_quality_score > prev THEN 'improving' ELSE 'degrading' END AS trend_direction,
+       round(ma7_quality_score - prev, 6) + 0.0 AS quality_change
+FROM t"""
     q["trends"] = f"""WITH {TRENDS}
 SELECT {TREND_COLS} FROM trends"""
     q["predicted_risk"] = f"""WITH {TRENDS}
@@ -295,7 +323,7 @@ keys AS (SELECT * FROM (VALUES ('click'), ('no_such_entity')) k(entity))
 SELECT k.entity, lt.date, lt.total_records, lt.records_with_issues, round(lt.avg_quality_score, 6) AS avg_quality_score,
        lt.max_quality_score, lt.min_quality_score, round(lt.quality_variance, 6) AS quality_variance,
        round(lt.issue_rate, 6) AS issue_rate, lt.health_status, round(lt.ma7_quality_score, 6) AS ma7_quality_score,
-       round(lt.ma7_issue_rate, 6) AS ma7_issue_rate, round(lt.quality_change, 6) AS quality_change,
+       round(lt.ma7_issue_rate, 6) AS ma7_issue_rate, round(lt.quality_change, 6) + 0.0 AS quality_change,
        coalesce(lt.trend_direction, 'unknown') AS trend_direction
 FROM keys k LEFT JOIN lt ON k.entity = lt.entity"""
     q["recent_issues"] = f"""WITH {ISSUES}
@@ -370,7 +398,7 @@ SELECT entity, '{{' || concat_ws(',',
     '"dailyScore":' || CAST(round(avg_quality_score, 6) AS VARCHAR),
     '"ma7Score":' || CAST(round(ma7_quality_score, 6) AS VARCHAR),
     '"trendDirection":"' || trend_direction || '"',
-    '"qualityChange":' || CAST(round(quality_change, 6) AS VARCHAR),
+    '"qualityChange":' || CAST(round(quality_change, 6) + 0.0 AS VARCHAR),
     '"predictionRisk":' || CASE WHEN trend_direction = 'degrading' AND quality_variance > 10 THEN '0.8'
                                 WHEN trend_direction = 'degrading' THEN '0.6'
                                 WHEN trend_direction = 'improving' AND quality_variance < 5 THEN '0.2'

@@ -165,6 +165,21 @@ def q_daily_metrics_lineitem(spark, sf_dir):
     return present(ops.daily_metrics(a, LINEITEM_RULES))
 
 
+def _lineitem_assessed(spark, sf_dir):
+    return ops.assess(lineitem_readings(spark, sf_dir), LINEITEM_RULES)
+
+
+def q_problem_orders_lineitem(spark, sf_dir):
+    """A4 on the largest table: the 10 orders with most flagged lines
+    (high-cardinality grouping, partial counts, fused top-k)."""
+    return present(ops.problem_subjects(_lineitem_assessed(spark, sf_dir), LINEITEM_RULES))
+
+
+def q_trends_lineitem(spark, sf_dir):
+    a = _lineitem_assessed(spark, sf_dir)
+    return present(ops.trends(ops.daily_metrics(a, LINEITEM_RULES), LINEITEM_RULES))
+
+
 def q_trends(spark, sf_dir):
     return present(ops.trends(_daily(spark, sf_dir), R))
 
@@ -305,6 +320,8 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "issue_json": q_issue_json,
         "daily_metrics": q_daily_metrics,
         "daily_metrics_lineitem": q_daily_metrics_lineitem,
+        "problem_orders_lineitem": q_problem_orders_lineitem,
+        "trends_lineitem": q_trends_lineitem,
         "trends": q_trends,
         "predicted_risk": q_predicted_risk,
         "entity_comparison": q_entity_comparison,
