@@ -82,7 +82,10 @@ class Rules:
 
             completeness: {required_fields: [...]}
             validity: {field: {min: .., max: ..}, ...}
-            anomaly_detection: {z_score_threshold: 3, fields: [...]}
+            anomaly_detection: {z_score_threshold: 3, fields: [...], window_size: 1000}
+
+        ``window_size`` is the row count of the count-window check (X2);
+        ``max_null_pct`` under ``completeness`` feeds the null-percentage check.
         """
         required = tuple(spec["completeness"]["required_fields"])
         ranges = tuple(
@@ -99,6 +102,8 @@ class Rules:
             kwargs["window"] = ad["window_duration"]
         if "watermark" in ad:
             kwargs["watermark"] = ad["watermark"]
+        if "window_size" in ad:
+            kwargs["row_window"] = int(ad["window_size"])
         if "prefixes" in spec:
             kwargs["prefixes"] = tuple(spec["prefixes"].items())
         if "max_null_pct" in spec.get("completeness", {}):

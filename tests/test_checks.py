@@ -133,3 +133,17 @@ def test_rules_from_dict_and_validation():
         Rules(required=())
     with pytest.raises(ValueError):
         Rules.from_dict({"completeness": {"required_fields": ["a"]}, "validity": {"a": {"min": 2, "max": 1}}})
+
+
+def test_rules_from_alternative_layout():
+    from dqspark import Rules
+
+    spec = {
+        "completeness": {"required_fields": ["patient_id", "age", "bp_systolic", "temperature"], "max_null_pct": 5},
+        "validity": {"age": {"min": 0, "max": 150}, "bp_systolic": {"min": 50, "max": 250},
+                     "temperature": {"min": 35.0, "max": 45.0}},
+        "anomaly_detection": {"z_score_threshold": 3, "window_size": 1000},
+    }
+    r = Rules.from_dict(spec, anomaly=("age", "bp_systolic"))
+    assert r.row_window == 1000 and r.max_null_pct == 5.0 and r.n_required == 4
+    assert r.range_of("temperature").max == 45.0 and r.anomaly == ("age", "bp_systolic")
