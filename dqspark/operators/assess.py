@@ -131,6 +131,68 @@ def _salted_join(rows: DataFrame, stats: DataFrame, rules: Rules, hot_rows: int,
     return rows.join(stats, keys + ["_salt"], "left").drop("_salt")
 
 
+MAX_CHUNKS = 64
+
+
+def _day_chunks(stats: DataFrame, broadcast_rows: int, max_chunks: int):
+    """Contiguous day ranges of window starts, each holding at most
+    ``broadcast_rows`` statistics rows.  Reads one row per day of statistics
+    (bounded by the time span, not the data).  None when a single day is over
+    the bound or more than ``max_chunks`` ranges would be needed."""
+    per_day = (
+        stats.groupBy(F.to_date(F.col(WIN)).alias("d")).agg(F.count(F.lit(1)).alias("c")).orderBy("d").collect()
+    )
+    chunks, lo, acc, prev = [], None, 0, None
+    for d, c in per_day:
+        if c > broadcast_rows:
+            return None
+        if lo is not None and acc + c > broadcast_rows:
+            chunks.append((lo, prev))
+            lo, acc = None, 0
+        if lo is None:
+            lo = d
+        acc += c
+        prev = d
+    if lo is not None:
+        chunks.append((lo, prev))
+    return chunks if len(chunks) <= max_chunks else None
+
+
+def _chunked_broadcast_join(rows: DataFrame, stats: DataFrame, rules: Rules, chunks, part_col: str) -> DataFrame:
+    """One broadcast join per day range, each over a scan pruned to the dates
+    that range's windows can cover (``part_col`` must be the date of
+    ``rules.time`` and a partition column of the input), unioned: the input is
+    read once in total and never shuffled.  Rows that no range takes (no
+    window) keep NULL statistics; the ranges and the remainder partition the
+    rows exactly, so none is lost or doubled."""
+    import datetime as dt
+
+    from ..functions.timewin import duration_micros
+
+    span_days = -(-duration_micros(rules.window) // 86_400_000_000)  # a window may reach into later dates
+    keys = [WIN, rules.entity]
+    stats = stats.drop("n")
+    parts, conds = [], []
+    for lo, hi in chunks:
+        w_lo, w_hi = F.lit(lo).cast("timestamp"), F.lit(hi + dt.timedelta(days=1)).cast("timestamp")
+        cond = (
+            F.col(part_col).between(F.lit(lo), F.lit(hi + dt.timedelta(days=span_days)))
+            & (F.col(WIN) >= w_lo)
+            & (F.col(WIN) < w_hi)
+        )
+        conds.append(F.coalesce(cond, F.lit(False)))
+        side = stats.filter((F.col(WIN) >= w_lo) & (F.col(WIN) < w_hi))
+        parts.append(rows.filter(cond).join(F.broadcast(side), keys, "left"))
+    taken = conds[0]
+    for c in conds[1:]:
+        taken = taken | c
+    rest = rows.filter(~taken).select("*", *[F.lit(None).cast("double").alias(c) for c in stat_columns(rules)])
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.unionByName(rest)
+
+
 def attach_anomalies(
     df: DataFrame,
     rules: Rules,
@@ -138,9 +200,16 @@ def attach_anomalies(
     hot_rows: int = DEFAULT_HOT_ROWS,
     stream_salts: int = DEFAULT_STREAM_SALTS,
     hot_list_rows: int = DEFAULT_BROADCAST_ROWS,
+    partition_col: str | None = None,
 ) -> DataFrame:
     """J1 + W5/W6: join window statistics back to every record, add z-scores and
-    anomaly flags.  Records with a NULL entity match no statistics (z = 0)."""
+    anomaly flags.  Records with a NULL entity match no statistics (z = 0).
+
+    Statistics within ``broadcast_rows``: one broadcast join.  Above it, when
+    the caller names ``partition_col`` (a date partition column holding the
+    date of ``rules.time``, as in the lake): one broadcast join per day range
+    (``_chunked_broadcast_join``).  Otherwise, or when a single day is over
+    the bound: a salted shuffle join."""
     if df.isStreaming:
         return _attach_stream(df, rules, stream_salts)
     cols = df.columns
@@ -149,8 +218,13 @@ def attach_anomalies(
         rows.filter(F.col(WIN).isNotNull()).groupBy(WIN, rules.entity).agg(*_stat_aggs(rules)),
         "window-stats",
     )
+    chunks = None
+    if n_stats > broadcast_rows and partition_col and partition_col in cols:
+        chunks = _day_chunks(stats, broadcast_rows, MAX_CHUNKS)
     if n_stats <= broadcast_rows:
         joined = rows.join(F.broadcast(stats.drop("n")), [WIN, rules.entity], "left")
+    elif chunks:
+        joined = _chunked_broadcast_join(rows, stats, rules, chunks, partition_col)
     else:
         joined = _salted_join(rows, stats, rules, hot_rows, hot_list_rows)
     out = joined.select(*cols, *stat_columns(rules))

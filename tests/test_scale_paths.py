@@ -121,3 +121,35 @@ def test_salting_spreads_a_hot_group(spark):
     assert max(per_task) < 0.35 * 10000  # the 5,000-row hot group is not in one task
     assert got.keys() == ref.keys()
     assert all(abs((got[k] or 0) - (ref[k] or 0)) < 1e-9 for k in ref)
+
+
+def test_chunked_broadcast_equals_broadcast(spark):
+    """Statistics over the bound on a date-partitioned input: one broadcast
+    join per day range over pruned scans, no record shuffle, same answer."""
+    root = tempfile.mkdtemp(prefix="dq-chunk-")
+    raw = event_readings(spark, SF).withColumn("ts", F.when(F.col("event_id") % 500 == 0, None).otherwise(F.col("ts")))
+    raw.withColumn("date", F.to_date("ts")).write.partitionBy("date").parquet(f"{root}/raw")
+    src = spark.read.parquet(f"{root}/raw")
+    rows = assess_rows(src, R)
+    ref = attach_anomalies(rows, R)
+    # ~6 statistics rows per day: a bound of 50 gives 4 day ranges
+    chunked = attach_anomalies(rows, R, broadcast_rows=50, partition_col="date")
+    plan = _plan(chunked)
+    assert plan.count("BroadcastHashJoin") >= 4
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert "PartitionFilters: [isnotnull(date" in plan
+    a = sorted((tuple(r) for r in ref.select(*COLS).collect()), key=str)
+    b = sorted((tuple(r) for r in chunked.select(*COLS).collect()), key=str)
+    assert len(b) == 10000 and a == b
+
+
+def test_chunked_broadcast_with_multi_day_windows(spark):
+    from dqspark.sources import LINEITEM_RULES as LR, lineitem_readings
+
+    root = tempfile.mkdtemp(prefix="dq-chunk7-")
+    lineitem_readings(spark, SF).withColumn("date", F.to_date("ship_ts")).write.partitionBy("date").parquet(f"{root}/li")
+    rows = assess_rows(spark.read.parquet(f"{root}/li"), LR)
+    cols = ["l_orderkey", "l_linenumber", "l_quantity_zscore", "l_discount_zscore", "has_issues", "quality_score"]
+    ref = sorted(tuple(r) for r in attach_anomalies(rows, LR).select(*cols).collect())
+    got = sorted(tuple(r) for r in attach_anomalies(rows, LR, broadcast_rows=200, partition_col="date").select(*cols).collect())
+    assert len(got) == 60000 and got == ref
