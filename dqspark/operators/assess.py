@@ -131,7 +131,9 @@ def _salted_join(rows: DataFrame, stats: DataFrame, rules: Rules, hot_rows: int,
     return rows.join(stats, keys + ["_salt"], "left").drop("_salt")
 
 
-MAX_CHUNKS = 64
+# Every executor may end up caching each range's broadcast relation (spillable), so
+# the ranges together stay within ~16 x 100 MB.
+MAX_CHUNKS = 16
 
 
 def _day_chunks(stats: DataFrame, broadcast_rows: int, max_chunks: int):
