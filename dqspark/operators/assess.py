@@ -16,7 +16,7 @@ work on batch and streaming DataFrames; only the anomaly join differs:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import checks, scoring
@@ -162,11 +162,11 @@ def _day_chunks(stats: DataFrame, broadcast_rows: int, max_chunks: int):
 
 def _chunked_broadcast_join(rows: DataFrame, stats: DataFrame, rules: Rules, chunks, part_col: str) -> DataFrame:
     """One broadcast join per day range, each over a scan pruned to the dates
-    that range's windows can cover (``part_col`` must be the date of
-    ``rules.time`` and a partition column of the input), unioned: the input is
-    read once in total and never shuffled.  Rows that no range takes (no
-    window) keep NULL statistics; the ranges and the remainder partition the
-    rows exactly, so none is lost or doubled."""
+    that range's windows can cover (``part_col`` is a partition column equal
+    to the date of ``rules.time`` on every row, checked by the caller),
+    unioned: the input is read once in total and never shuffled.  Rows
+    without a time keep NULL statistics; the ranges and that remainder
+    partition the rows exactly, so none is lost or doubled."""
     import datetime as dt
 
     from ..functions.timewin import duration_micros
@@ -174,7 +174,7 @@ def _chunked_broadcast_join(rows: DataFrame, stats: DataFrame, rules: Rules, chu
     span_days = -(-duration_micros(rules.window) // 86_400_000_000)  # a window may reach into later dates
     keys = [WIN, rules.entity]
     stats = stats.drop("n")
-    parts, conds = [], []
+    parts = []
     for lo, hi in chunks:
         w_lo, w_hi = F.lit(lo).cast("timestamp"), F.lit(hi + dt.timedelta(days=1)).cast("timestamp")
         cond = (
@@ -182,13 +182,14 @@ def _chunked_broadcast_join(rows: DataFrame, stats: DataFrame, rules: Rules, chu
             & (F.col(WIN) >= w_lo)
             & (F.col(WIN) < w_hi)
         )
-        conds.append(F.coalesce(cond, F.lit(False)))
         side = stats.filter((F.col(WIN) >= w_lo) & (F.col(WIN) < w_hi))
         parts.append(rows.filter(cond).join(F.broadcast(side), keys, "left"))
-    taken = conds[0]
-    for c in conds[1:]:
-        taken = taken | c
-    rest = rows.filter(~taken).select("*", *[F.lit(None).cast("double").alias(c) for c in stat_columns(rules)])
+    # ``part_col`` was checked to equal the date of ``rules.time`` on every
+    # row, so the rows no range takes are exactly those without a time: the
+    # NULL partition (pruned, not a second full scan)
+    rest = rows.filter(F.col(part_col).isNull()).select(
+        "*", *[F.lit(None).cast("double").alias(c) for c in stat_columns(rules)]
+    )
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -216,12 +217,19 @@ def attach_anomalies(
         return _attach_stream(df, rules, stream_salts)
     cols = df.columns
     rows = df.withColumn(WIN, window_start(F.col(rules.time), rules.window))
+    src, part_check = rows, None
+    if partition_col and partition_col in cols:
+        # verified in the statistics scan itself: the partition column is the
+        # date of the time column on every row (what the range plan relies on)
+        part_check = Observation("partition-date-check")
+        mismatch = ~F.col(partition_col).eqNullSafe(F.to_date(F.col(rules.time)))
+        src = rows.observe(part_check, F.count_if(mismatch).alias("bad"))
     stats, n_stats = materialize_counted(
-        rows.filter(F.col(WIN).isNotNull()).groupBy(WIN, rules.entity).agg(*_stat_aggs(rules)),
+        src.filter(F.col(WIN).isNotNull()).groupBy(WIN, rules.entity).agg(*_stat_aggs(rules)),
         "window-stats",
     )
     chunks = None
-    if n_stats > broadcast_rows and partition_col and partition_col in cols:
+    if n_stats > broadcast_rows and part_check is not None and int(part_check.get["bad"]) == 0:
         chunks = _day_chunks(stats, broadcast_rows, MAX_CHUNKS)
     if n_stats <= broadcast_rows:
         joined = rows.join(F.broadcast(stats.drop("n")), [WIN, rules.entity], "left")

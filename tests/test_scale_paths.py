@@ -138,6 +138,7 @@ def test_chunked_broadcast_equals_broadcast(spark):
     assert plan.count("BroadcastHashJoin") >= 4
     assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
     assert "PartitionFilters: [isnotnull(date" in plan
+    assert "PartitionFilters: [isnull(date)]" in plan  # rows without a time: only the NULL partition is read
     a = sorted((tuple(r) for r in ref.select(*COLS).collect()), key=str)
     b = sorted((tuple(r) for r in chunked.select(*COLS).collect()), key=str)
     assert len(b) == 10000 and a == b
@@ -153,3 +154,17 @@ def test_chunked_broadcast_with_multi_day_windows(spark):
     ref = sorted(tuple(r) for r in attach_anomalies(rows, LR).select(*cols).collect())
     got = sorted(tuple(r) for r in attach_anomalies(rows, LR, broadcast_rows=200, partition_col="date").select(*cols).collect())
     assert len(got) == 60000 and got == ref
+
+
+def test_chunked_plan_needs_a_true_date_column(spark):
+    """A 'date' column that is not the date of the time column must not be
+    trusted for pruning: the plan falls back to the salted join."""
+    root = tempfile.mkdtemp(prefix="dq-chunkbad-")
+    raw = event_readings(spark, SF).withColumn("date", F.date_add(F.to_date("ts"), 1))
+    raw.write.partitionBy("date").parquet(f"{root}/raw")
+    rows = assess_rows(spark.read.parquet(f"{root}/raw"), R)
+    out = attach_anomalies(rows, R, broadcast_rows=50, partition_col="date")
+    plan = _plan(out)
+    assert plan.count("BroadcastHashJoin") < 4  # not the per-range plan
+    ref = sorted((tuple(r) for r in attach_anomalies(rows, R).select(*COLS).collect()), key=str)
+    assert sorted((tuple(r) for r in out.select(*COLS).collect()), key=str) == ref
