@@ -138,7 +138,10 @@ def test_chunked_broadcast_equals_broadcast(spark):
     assert plan.count("BroadcastHashJoin") >= 4
     assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
     assert "PartitionFilters: [isnotnull(date" in plan
-    assert "PartitionFilters: [isnull(date)]" in plan  # rows without a time: only the NULL partition is read
+    import re
+
+    # rows without a time: only the NULL partition is read
+    assert re.search(r"PartitionFilters: \[isnull\(date(#\d+)?\)\]", plan)
     a = sorted((tuple(r) for r in ref.select(*COLS).collect()), key=str)
     b = sorted((tuple(r) for r in chunked.select(*COLS).collect()), key=str)
     assert len(b) == 10000 and a == b
