@@ -171,7 +171,16 @@ def _chunked_broadcast_join(rows: DataFrame, stats: DataFrame, rules: Rules, chu
 
     from ..functions.timewin import duration_micros
 
-    span_days = -(-duration_micros(rules.window) // 86_400_000_000)  # a window may reach into later dates
+    # how many dates past its start day a window can reach (windows are
+    # epoch-aligned): none when the window divides a day, length - 1 day for
+    # whole days, else rounded up
+    w_us, day_us = duration_micros(rules.window), 86_400_000_000
+    if day_us % w_us == 0:
+        span_days = 0
+    elif w_us % day_us == 0:
+        span_days = w_us // day_us - 1
+    else:
+        span_days = -(-w_us // day_us)
     keys = [WIN, rules.entity]
     stats = stats.drop("n")
     parts = []
