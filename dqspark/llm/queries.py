@@ -8,8 +8,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import F, table
+from .fingerprint import fingerprint_pairs
+from .langid import fit, held_out, identify
 from .packing import pack_documents
+from .simhash import near_duplicates
 from .tokencount import count_tokens
 from .tokenfile import write_and_read
 
@@ -20,6 +23,14 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_pairs(table(spark, sf_dir, "documents"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=3)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -28,8 +39,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.filter(~held_out(F.col("doc_id"))))
+    return identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_token_file, op6_packing, op9_token_counts)}
+    return {f.__name__: f for f in (op2_token_file, op3_fingerprints, op4_simhash, op6_packing, op9_token_counts, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
