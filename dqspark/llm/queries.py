@@ -9,16 +9,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import F, table
+from .decontaminate import contaminated
 from .fingerprint import fingerprint_pairs
 from .langid import fit, held_out, identify
 from .packing import pack_documents
 from .simhash import near_duplicates
 from .tokencount import count_tokens
 from .tokenfile import write_and_read
+from .urlfilter import filter_urls, path_of
+from .warc import archive_and_read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: The listed rules of op7, (verdict, host/path).
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -35,6 +52,21 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's label is that of the document whose number its path ends with:
+    low quality or toxic is blocked."""
+    pages = table(spark, sf_dir, "pages")
+    number = F.regexp_extract(path_of(F.col("url")), r"/([0-9]{1,18})(?:[./]|$)", 1)
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    known = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(F.coalesce(bad, F.lit(False))).alias("blocked"))
+    labelled = pages.select("url", F.when(number != "", number.cast("long")).alias("doc_id")).join(known, "doc_id").select("url", "blocked")
+    return filter_urls(pages, labelled, URL_RULES)
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_and_read(table(spark, sf_dir, "pages"), min_revisit_bytes=0).withColumnRenamed("rec_id", "page_id")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -46,7 +78,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_token_file, op3_fingerprints, op4_simhash, op6_packing, op9_token_counts, op10_language_id)}
+    return {f.__name__: f for f in (
+            op1_decontaminate, op2_token_file, op3_fingerprints, op4_simhash, op6_packing,
+            op7_url_filter, op8_warc, op9_token_counts, op10_language_id,
+        )}
 
 
 def oracle_sql() -> dict[str, str]:
