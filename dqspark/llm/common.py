@@ -1,19 +1,12 @@
-"""Helpers of the corpus operators: reading a table, keeping an intermediate one, Arrow batches."""
+"""Helpers of the corpus operators: reading a table, keeping an intermediate one, dropping rows by id."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, materialize_counted, scratch_path
 
-#: 64-bit row keys below this are free for what an operator adds itself.
-KEY_BITS = 56
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -30,18 +23,17 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[f"`{c}`"].alias(name) for name, c in columns.items()])
 
 
-def arrow_rows(fn: Callable[[list[pa.Array]], list[pa.Array]], names: list[str], make: Callable[[], object] | None = None):
-    """A ``mapInArrow`` function that turns each batch's columns into the columns ``names``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(fn(b.columns), names=names)
-
-    return run
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 2_000_000) -> DataFrame:
+    """The rows of ``docs`` whose id is not among ``ids`` (one column); rows
+    with a null id stay.  Up to ``broadcast_rows`` different ids (about 20 MB)
+    are broadcast; more are joined by shuffle."""
+    ids = ids.toDF("_gone").filter("_gone IS NOT NULL").distinct()
+    ids, n = materialize_counted(ids, "dropped-ids")
+    return docs.join(F.broadcast(ids) if n <= broadcast_rows else ids, docs[f"`{id_col}`"] == F.col("_gone"), "left_anti")
 
 
 def sql_type(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-__all__ = ["F", "KEY_BITS", "table", "keep", "materialize_counted", "scratch_path", "only", "arrow_rows", "sql_type"]
+__all__ = ["F", "table", "keep", "materialize_counted", "scratch_path", "only", "sql_type", "without_ids"]

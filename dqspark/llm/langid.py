@@ -210,6 +210,20 @@ def identify(docs: DataFrame, model: Machines, id_col: str = "doc_id", text_col:
     return src.mapInArrow(run, f"doc_id {sql_type(src, 'doc_id')}, lang_pred string, score double")
 
 
+def identified(docs: DataFrame, model: Machines, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is known: a
+    null text, or one without letters, is rejected."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lang, _ = shared.value.predict(b.column(at).to_pylist())
+            yield b.filter(pa.array([x != UNKNOWN for x in lang], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_column) -> "F.Column":
     """Whether a row is kept from fitting: crc32 of the id's digits leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 4 == 2, F.lit(False))

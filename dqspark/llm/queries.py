@@ -12,6 +12,7 @@ from .common import F, table
 from .decontaminate import contaminated
 from .fingerprint import fingerprint_pairs
 from .langid import fit, held_out, identify
+from .linededup import drop_lines
 from .packing import pack_documents
 from .simhash import near_duplicates
 from .tokencount import count_tokens
@@ -48,6 +49,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=3)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_lines(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -77,10 +82,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (
-            op1_decontaminate, op2_token_file, op3_fingerprints, op4_simhash, op6_packing,
-            op7_url_filter, op8_warc, op9_token_counts, op10_language_id,
+            op1_decontaminate, op2_token_file, op3_fingerprints, op4_simhash, op5_line_dedup, op6_packing,
+            op7_url_filter, op8_warc, op9_token_counts, op10_language_id, pipeline,
         )}
 
 

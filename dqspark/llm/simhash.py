@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import F, keep, materialize_counted, only, sql_type
+from .common import F, keep, materialize_counted, only, sql_type, without_ids
 
 MAX_BITS = 3
 HOT_LIST = 4096
@@ -224,3 +224,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     low = joined.groupBy("root").agg(F.min("low").alias("component_id"))
     label = joined.select("fp", "root").join(low, "root").select("fp", "component_id")
     return fps.join(label, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` less near-duplicates: of each component the row with the
+    smallest id stays, one of those with that id.  Rows with a null id stay."""
+    found = keep(near_duplicates(docs, id_col, text_col, **options), "near-duplicates")
+    left = without_ids(docs, found.filter("doc_id != component_id").select("doc_id"), id_col)
+    if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return left
+    named = left.filter(left[f"`{id_col}`"].isNotNull()).dropDuplicates([id_col])
+    return named.unionByName(left.filter(left[f"`{id_col}`"].isNull()))
