@@ -34,49 +34,56 @@ _UNITS = (
 )
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, also inside a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def template_text(text: Column) -> Column:
-    """Lower-cased words with one space between; each slot is its placeholder's
-    mark and its value in one word.
+    """Lower-cased text in which a slot's value has its placeholder's mark in front.
 
     A number is a run of digits with inner points or commas that no letter
     touches; a unit one of the listed words, a percent or a currency sign next
     to a number; a name a capitalised word that another word or a comma comes
     before on the line, so the first word of a sentence is not one.
     """
-    t = F.regexp_replace(text, f"{_SLOT}+", " ")
-    t = F.regexp_replace(t, r"(?<=[\p{Ll}\p{N},;] )(\p{Lu}[\p{L}\p{M}]+)", NAME + "$1")
-    t = F.regexp_replace(t, rf"(?<![\p{{L}}\p{{N}}{NAME}])([0-9]+(?:[.,][0-9]+)*)(?![\p{{N}}])", f" {NUMBER}$1 ")
-    t = F.regexp_replace(t, rf"(?i)(?<=[0-9] ) ?({_UNITS})(?![\p{{L}}\p{{N}}])", f" {UNIT}$1 ")
-    t = F.regexp_replace(t, rf"(?<=[0-9] ) ?([%€$£°])|([€$£]) ?(?= {NUMBER})", f" {UNIT}$1$2 ")
-    # signs go, but for those inside a number and those marked as units
-    t = F.regexp_replace(t, rf"(?<!{UNIT})(?<![0-9](?=[.,][0-9]))[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{NAME}]+", " ")
-    return F.trim(F.lower(t))
+    # each pattern starts with the class that is rarest, and looks behind only there
+    def numbers(t: Column) -> Column:
+        t = F.regexp_replace(t, rf"([0-9](?<![\p{{L}}\p{{N}}{NAME}][0-9])[0-9]*(?:[.,][0-9]+)*)(?![\p{{N}}])", f" {NUMBER}$1 ")
+        t = F.regexp_replace(t, rf"(?i)({NUMBER}[0-9.,]+ ) ?({_UNITS})(?![\p{{L}}\p{{N}}])", f"$1 {UNIT}$2 ")
+        t = F.regexp_replace(t, rf"({NUMBER}[0-9.,]+ ) ?([%€$£°])", f"$1 {UNIT}$2 ")
+        return F.regexp_replace(t, rf"([€$£]) ?(?= {NUMBER})", f" {UNIT}$1 ")
 
+    for mark in (NUMBER, UNIT, NAME):
+        text = F.replace(text, F.lit(mark), F.lit(" "))
+    named = F.regexp_replace(text, r"(\p{Lu}(?<=[\p{Ll}\p{N},;] \p{Lu})[\p{L}\p{M}]+)", NAME + "$1")
+    return F.lower(_let(named, lambda t: F.when(t.rlike("[0-9]"), numbers(t)).otherwise(t)))
 
-def _words(text: Column) -> Column:
-    return F.split(template_text(text), " +")
 
+#: What divides words: all signs and spaces, but for those inside a number and those marked as units.
+_BETWEEN = rf"(?:[^a-z\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{NAME}](?<!{UNIT}.)(?<![0-9][.,](?=[0-9])))+"
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, also inside a lambda."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def _windows(words: Column, width: int) -> Column:
-    """Hash of every window of ``width`` template words (a slot is its mark alone); none in shorter texts."""
-    template = F.transform(words, lambda w: F.when(w < NUMBER, w).when(w.rlike(f"^{_SLOT}"), F.substring(w, 1, 1)).otherwise(w))
-
-    def hashes(t: Column) -> Column:
-        at = F.when(F.size(t) >= width, F.sequence(F.lit(1), F.size(t) - (width - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.xxhash64(F.slice(t, i, width)))
 
-    return _let(template, hashes)
+def _words(text: Column) -> Column:
+    return F.filter(F.split(template_text(text), _BETWEEN), lambda w: w != "")
 
 
 def _with_windows(src: DataFrame, width: int, keys: list[str]) -> DataFrame:
-    """Keys, place and hash of each window, and its words with their values."""
+    """Keys, place and hash of each window of ``width`` template words (a slot is
+    its mark alone), and the text's words with their values; texts with fewer
+    words have none.
+
+    Words are hashed in the array, windows after it is exploded: generate, hash
+    and a broadcast join then run in one generated loop, and the arrays are
+    only carried along by those that are joined.
+    """
     d = src.select(*keys, _words(F.col("text")).alias("words"))
-    return d.select(*keys, "words", F.posexplode(_windows(F.col("words"), width)).alias("place", "hash"))
+    mark = lambda w: F.when(w < NUMBER, w).when(w.rlike(f"^{_SLOT}"), F.substring(w, 1, 1)).otherwise(w)
+    d = d.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(mark(w))))
+    # outer: else an inferred filter on the array parses every text once more
+    d = d.select(*keys, "words", "hashes", F.posexplode_outer("hashes").alias("place", "first")).filter(F.col("place") <= F.size("hashes") - width)
+    rest = [F.get("hashes", F.col("place") + k) for k in range(1, width)]
+    return d.select(*keys, "words", "place", F.xxhash64("first", *rest).alias("hash"))
 
 
 def _item_windows(items: DataFrame, width: int, min_words: int) -> DataFrame:

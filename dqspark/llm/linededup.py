@@ -23,6 +23,8 @@ MIN_WORDS = 4  # shorter lines are kept
 MIN_FIXED = 6  # words that a template with a variable half must fix
 #: Recurring templates up to this many (16 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 2_000_000
+#: Places of dropped lines up to this size are broadcast.
+BROADCAST_BYTES = 64 << 20
 VARIABLE = "<*>"
 
 
@@ -31,33 +33,48 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _words_of(line: Column, n: Column) -> Column:
+    """The first ``n`` words of a line, the last -n for a negative ``n``."""
+    return F.call_function("substring_index", line, F.lit(" "), n)
+
+
+def _masked(text: Column) -> Column:
+    """The text with one space between words and ``<*>`` for words with a digit."""
+    spaced = F.when(text.rlike("[\t\r\f\x0b]|  "), F.regexp_replace(text, "[ \t\r\f\x0b]+", " ")).otherwise(text)
+    return _let(spaced, lambda t: F.when(t.rlike("[0-9]"), F.regexp_replace(t, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*", VARIABLE)).otherwise(t))
+
+
 def line_templates(text: Column, leading: int = LEADING, min_words: int = MIN_WORDS, min_fixed: int = MIN_FIXED) -> Column:
     """For each line of ``text`` the hashes of the templates that it belongs to:
     its own with variable fields masked, then those with a variable second
     and first half; none for lines of few words."""
-    masked = F.regexp_replace(text, r"[^\s]*[0-9][^\s]*", VARIABLE)
+    length = lambda c, part: F.char_length(c) - F.char_length(F.replace(c, F.lit(part)))
 
-    def templates(w: Column) -> Column:
-        n = F.size(w)
+    def templates(line: Column, n: Column) -> Column:
         half = F.ceil((n - leading) / 2).cast("int")  # words of the first half behind the leading ones
-        plain = F.size(F.filter(w, lambda x: x != VARIABLE))
-        own = F.array(F.xxhash64(F.lit("own"), w))
-        second = F.xxhash64(F.lit("second varies"), n, F.slice(w, 1, half + leading))
-        first = F.xxhash64(F.lit("first varies"), n, F.slice(w, 1, leading), F.slice(w, half + leading + 1, n))
-        wide = n - leading - half + leading >= min_fixed  # the smaller of the two
+        plain = n - length(line, VARIABLE) / len(VARIABLE)
+        own = F.xxhash64(F.lit("own"), line)
+
+        def both(h: Column) -> Column:
+            second = F.xxhash64(F.lit("second varies"), n, _words_of(line, h + leading))
+            first = F.xxhash64(F.lit("first varies"), n, F.substring_index(line, " ", leading), _words_of(line, h + leading - n))
+            return F.array(own, second, first)
+
         none = F.array().cast("array<bigint>")
-        return F.when((n < min_words) | (plain < 2), none).when(wide, F.concat(own, F.array(second, first))).otherwise(own)
+        wide = n - half >= min_fixed  # words that are fixed with the first half variable; never more than with the second
+        return F.when((n < min_words) | (plain < 2), none).when(wide, _let(half, both)).otherwise(F.array(own))
 
-    lines = F.split(masked, "\n")
-    return F.transform(lines, lambda line: _let(F.filter(F.split(line, r"\s+"), lambda x: x != ""), templates))
+    each = lambda line: _let(length(line, " ") + 1, lambda n: templates(line, n))
+    return F.transform(F.split(_masked(text), "\n"), lambda line: _let(F.trim(line), each))
 
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, **parsing) -> DataFrame:
     """(template, first_doc) of the templates in ``min_docs`` rows of (doc_id, text)
     or more; ``first_doc``: the smallest id.  A row counts a template once, so
     counting needs no pair of row and template."""
-    parsed = docs.select("doc_id", F.explode(F.array_distinct(F.flatten(line_templates(F.col("text"), **parsing)))).alias("template"))
-    counted = parsed.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"))
+    # outer: else an inferred filter on the array parses every text once more
+    parsed = docs.select("doc_id", F.explode_outer(F.array_distinct(F.flatten(line_templates(F.col("text"), **parsing)))).alias("template"))
+    counted = parsed.filter("template IS NOT NULL").groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"))
     return counted.filter(F.col("n") >= min_docs).select("template", "first_doc")
 
 
@@ -65,13 +82,13 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, broadcast_rows: int
     """(doc_id, mark, places): the lines (from 0) that each row of (doc_id, text)
     loses; ``mark`` tells rows of one id apart by their text."""
     known, n = materialize_counted(recurring(docs, min_docs, **parsing), "line-templates")
-    lines = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(line_templates(F.col("text"), **parsing)).alias("place", "templates"))
-    lines = lines.select("doc_id", "mark", "place", F.explode("templates").alias("template"))
+    lines = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode_outer(line_templates(F.col("text"), **parsing)).alias("place", "templates"))
+    lines = lines.select("doc_id", "mark", "place", F.explode_outer("templates").alias("template")).filter("template IS NOT NULL")
     met = lines.join(F.broadcast(known) if n <= broadcast_rows else known, "template")
     return met.filter(F.col("doc_id") > F.col("first_doc")).groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("place")).alias("places"))
 
 
-def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_rows: int = BROADCAST_ROWS, whole_rows: bool = False, **parsing) -> DataFrame:
+def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES, whole_rows: bool = False, **parsing) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped) of every row: the text without the lines
     whose template recurs.  With ``whole_rows`` the columns of ``docs`` instead,
     its text column cleaned.
@@ -86,6 +103,9 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     src = only(docs, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     gone = keep(dropped_lines(src.filter("text IS NOT NULL"), min_docs, broadcast_rows, **parsing), "dropped-lines")
+    size = gone.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("places")), F.lit(0))).first()
+    # 40 bytes a row and 4 a line; more are joined by a hash of the id, without sorting texts
+    gone = F.broadcast(gone) if 40 * size[0] + 4 * size[1] <= broadcast_bytes else gone.hint("shuffle_hash")
     whole = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     rows = whole.select("row", F.col(f"row.`{id_col}`").alias("doc_id"), F.col(f"row.`{text_col}`").cast("string").alias("text")) if whole_rows else src
     rows = rows.withColumn("mark", F.xxhash64("text")).join(gone, ["doc_id", "mark"], "left")
