@@ -12,6 +12,9 @@ Native: DataFrame functions only.  Templates are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +43,8 @@ def _words_of(line: Column, n: Column) -> Column:
 
 def _masked(text: Column) -> Column:
     """The text with one space between words and ``<*>`` for words with a digit."""
-    spaced = F.when(text.rlike("[\t\r\f\x0b]|  "), F.regexp_replace(text, "[ \t\r\f\x0b]+", " ")).otherwise(text)
+    odd = reduce(or_, [F.contains(text, F.lit(x)) for x in ("\t", "\r", "\f", "\x0b", "  ")])
+    spaced = F.when(odd, F.regexp_replace(text, "[ \t\r\f\x0b]+", " ")).otherwise(text)
     return _let(spaced, lambda t: F.when(t.rlike("[0-9]"), F.regexp_replace(t, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*", VARIABLE)).otherwise(t))
 
 
@@ -68,22 +72,28 @@ def line_templates(text: Column, leading: int = LEADING, min_words: int = MIN_WO
     return F.transform(F.split(_masked(text), "\n"), lambda line: _let(F.trim(line), each))
 
 
-def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, **parsing) -> DataFrame:
-    """(template, first_doc) of the templates in ``min_docs`` rows of (doc_id, text)
-    or more; ``first_doc``: the smallest id.  A row counts a template once, so
-    counting needs no pair of row and template."""
-    # outer: else an inferred filter on the array parses every text once more
-    parsed = docs.select("doc_id", F.explode_outer(F.array_distinct(F.flatten(line_templates(F.col("text"), **parsing)))).alias("template"))
-    counted = parsed.filter("template IS NOT NULL").groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"))
+def parsed_lines(docs: DataFrame, **parsing) -> DataFrame:
+    """(doc_id, mark, templates): the templates of each line of every row of
+    (doc_id, text); ``mark`` tells rows of one id apart by their text."""
+    return docs.select("doc_id", F.xxhash64("text").alias("mark"), line_templates(F.col("text"), **parsing).alias("templates"))
+
+
+def recurring(parsed: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(template, first_doc) of the templates in ``min_docs`` parsed rows or more;
+    ``first_doc``: the smallest id.  A row counts a template once, so counting
+    needs no pair of row and template."""
+    each = parsed.select("doc_id", F.explode_outer(F.array_distinct(F.flatten("templates"))).alias("template")).filter("template IS NOT NULL")
+    counted = each.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"))
     return counted.filter(F.col("n") >= min_docs).select("template", "first_doc")
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, broadcast_rows: int = BROADCAST_ROWS, **parsing) -> DataFrame:
     """(doc_id, mark, places): the lines (from 0) that each row of (doc_id, text)
-    loses; ``mark`` tells rows of one id apart by their text."""
-    known, n = materialize_counted(recurring(docs, min_docs, **parsing), "line-templates")
-    lines = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode_outer(line_templates(F.col("text"), **parsing)).alias("place", "templates"))
-    lines = lines.select("doc_id", "mark", "place", F.explode_outer("templates").alias("template")).filter("template IS NOT NULL")
+    loses.  Texts are parsed once, into a table of hashes."""
+    parsed = keep(parsed_lines(docs, **parsing), "lines-parsed")
+    known, n = materialize_counted(recurring(parsed, min_docs), "line-templates")
+    lines = parsed.select("doc_id", "mark", F.posexplode_outer("templates").alias("place", "of_line"))
+    lines = lines.select("doc_id", "mark", "place", F.explode_outer("of_line").alias("template")).filter("template IS NOT NULL")
     met = lines.join(F.broadcast(known) if n <= broadcast_rows else known, "template")
     return met.filter(F.col("doc_id") > F.col("first_doc")).groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("place")).alias("places"))
 
@@ -115,5 +125,5 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.when(F.col("places").isNull(), F.col("text")).otherwise(cleaned)
     if whole_rows:
         return rows.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
-    n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines))
+    n = F.coalesce(F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"))) + 1, F.lit(0))
     return rows.select("doc_id", text.alias("text"), n.alias("n_lines"), F.coalesce(F.size("places"), F.lit(0)).alias("n_dropped"))
