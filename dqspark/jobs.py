@@ -52,6 +52,10 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--trigger", default="1 minute", help="processing-time interval, or 'available-now'")
     s.add_argument("--console", action="store_true")
+    s.add_argument("--issues-format", default="json", help="file format, or 'kafka'")
+    s.add_argument("--issues-option", action="append", default=[], metavar="KEY=VALUE", help="option of the issues sink")
+    s.add_argument("--immediate", help="folder for row-check issues, written at once")
+    s.add_argument("--stream-salts", type=int, help="state partitions that one entity's window is spread over")
     s.add_argument("--state-partitions", type=int, help="state partition count (fixed at the first start)")
     d = sub.choices["daily"]
     d.add_argument("--out", required=True)
@@ -72,8 +76,16 @@ def main(argv: list[str] | None = None) -> None:
 
     raw = topic_source(spark, a.servers, a.topic) if a.source == "kafka" else text_stream(spark, a.input)
     trigger = {"availableNow": True} if a.trigger == "available-now" else {"processingTime": a.trigger}
-    sinks = StreamSinks(lake=a.lake, issues=a.issues, summary=a.summary, console=a.console)
-    run_stream(spark, raw, rules, sinks, a.checkpoint, trigger=trigger, state_partitions=a.state_partitions)
+    options = dict(x.split("=", 1) for x in a.issues_option)
+    issues = a.issues or ("topic" if a.issues_format == "kafka" else None)
+    sinks = StreamSinks(
+        lake=a.lake, issues=issues, summary=a.summary, console=a.console,
+        issues_format=a.issues_format, issues_options=options, immediate=a.immediate,
+    )
+    run_stream(
+        spark, raw, rules, sinks, a.checkpoint, trigger=trigger,
+        state_partitions=a.state_partitions, stream_salts=a.stream_salts,
+    )
 
 
 if __name__ == "__main__":

@@ -6,6 +6,7 @@ from .assess import (  # noqa: F401
     attach_anomalies,
     extract_issues,
     issue_json,
+    row_issues,
     score_only,
     window_stats,
     with_severity,

@@ -16,17 +16,21 @@ work on batch and streaming DataFrames; only the anomaly join differs:
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import checks, scoring
 from ..functions.timewin import window_end, window_start
 from ..rules import Rules
-from ..session import materialize_counted
+from ..session import materialize_counted, scratch_path
 
-# Broadcast bound for the window-statistics side: ~100 B per stats row, so the
-# default keeps the broadcast relation near 100 MB.
+# Broadcast bounds for the window-statistics side.  Bytes count a row's fixed
+# columns and its entity string.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 128 << 20
 # A (window, entity) group above this many rows is split over several join tasks.
 DEFAULT_HOT_ROWS = 5_000_000
 # Streaming: records of one (window, entity) are spread over this many join
@@ -93,57 +97,51 @@ def _with_scores(df: DataFrame, rules: Rules) -> DataFrame:
 def _salted_join(rows: DataFrame, stats: DataFrame, rules: Rules, hot_rows: int, hot_list_rows: int) -> DataFrame:
     """Shuffle join for when the statistics side is too big to broadcast.
 
-    Groups with more than ``hot_rows`` rows are split: their rows get a random
-    salt in [0, k) and their single stats row is replicated k times, so a hot
-    (window, entity) lands on k tasks instead of one.  The hot-key list is
-    bounded by total_rows / hot_rows and is itself size-checked before it is
-    broadcast.  Which salt a row draws does not change the result, so a
-    recomputed task after executor loss stays correct.
+    Groups with more than ``hot_rows`` rows are split: their rows get a salt in
+    [0, k), a hash of the row, so a recomputed task salts as the lost one did,
+    and their single stats row is replicated k times: a hot (window, entity)
+    lands on k tasks instead of one.  A hot-key list beyond ``hot_list_rows``
+    is not broadcast; then every group is salted alike, by what the largest
+    one needs.
     """
     keys = [WIN, rules.entity]
-    while True:
-        hot = stats.filter(F.col("n") > F.lit(hot_rows)).select(
-            *keys, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias("_salts")
-        )
-        n_hot = hot.count()
-        # The hot-key list must be broadcast: joining it by shuffle would put
-        # the hot keys' records back into one task.  It holds at most
-        # total_rows / hot_rows keys, so raising the threshold shrinks it fast.
-        if n_hot <= max(hot_list_rows, 1):
-            break
-        hot_rows *= 2
-    if n_hot == 0:
+    salts = F.ceil(F.col("n") / F.lit(hot_rows)).cast("int")
+    hot = stats.filter(F.col("n") > F.lit(hot_rows)).select(*keys, salts.alias("_salts"))
+    found = hot.agg(F.count(F.lit(1)).alias("n"), F.max("_salts").alias("most")).first()
+    if found["n"] == 0:
         return rows.join(stats.drop("n"), keys, "left")
+    mark = F.xxhash64(*[F.col(c) for c in rows.columns])
+    if found["n"] > max(hot_list_rows, 1):
+        rows = rows.withColumn("_salt", F.pmod(mark, F.lit(found["most"])).cast("int"))
+        stats = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(found["most"] - 1)))).drop("n")
+        return rows.join(stats, keys + ["_salt"], "left").drop("_salt")
     hot_side = F.broadcast(hot)
-    rows = rows.join(hot_side, keys, "left").withColumn(
-        "_salt",
-        F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
-            F.floor(F.rand() * F.col("_salts")).cast("int")
-        ),
-    ).drop("_salts")
+    rows = rows.join(hot_side, keys, "left").withColumn("_salt", F.pmod(mark, F.coalesce(F.col("_salts"), F.lit(1))).cast("int")).drop("_salts")
     stats = (
         stats.join(hot_side, keys, "left")
-        .withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - F.lit(1)))
-        )
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - F.lit(1))))
         .drop("_salts", "n")
     )
     return rows.join(stats, keys + ["_salt"], "left").drop("_salt")
 
 
 # Every executor may end up caching each range's broadcast relation (spillable), so
-# the ranges together stay within ~16 x 100 MB.
-MAX_CHUNKS = 16
+# at most this many ranges share one plan; more are worked off one lot after another.
+RANGES_PER_PLAN = 16
+# Days of statistics that are listed on the driver at most (over 270 years).
+MAX_DAYS = 100_000
 
 
-def _day_chunks(stats: DataFrame, broadcast_rows: int, max_chunks: int):
+def _day_chunks(stats: DataFrame, broadcast_rows: int):
     """Contiguous day ranges of window starts, each holding at most
     ``broadcast_rows`` statistics rows.  Reads one row per day of statistics
-    (bounded by the time span, not the data).  None when a single day is over
-    the bound or more than ``max_chunks`` ranges would be needed."""
+    (bounded by the time span and ``MAX_DAYS``, not the data).  None when a
+    single day is over the bound, or times are spread over more days."""
     per_day = (
-        stats.groupBy(F.to_date(F.col(WIN)).alias("d")).agg(F.count(F.lit(1)).alias("c")).orderBy("d").collect()
+        stats.groupBy(F.to_date(F.col(WIN)).alias("d")).agg(F.count(F.lit(1)).alias("c")).orderBy("d").limit(MAX_DAYS + 1).collect()
     )
+    if len(per_day) > MAX_DAYS:
+        return None
     chunks, lo, acc, prev = [], None, 0, None
     for d, c in per_day:
         if c > broadcast_rows:
@@ -157,7 +155,7 @@ def _day_chunks(stats: DataFrame, broadcast_rows: int, max_chunks: int):
         prev = d
     if lo is not None:
         chunks.append((lo, prev))
-    return chunks if len(chunks) <= max_chunks else None
+    return chunks
 
 
 def _chunked_broadcast_join(rows: DataFrame, stats: DataFrame, rules: Rules, chunks, part_col: str) -> DataFrame:
@@ -183,8 +181,8 @@ def _chunked_broadcast_join(rows: DataFrame, stats: DataFrame, rules: Rules, chu
         span_days = -(-w_us // day_us)
     keys = [WIN, rules.entity]
     stats = stats.drop("n")
-    parts = []
-    for lo, hi in chunks:
+
+    def joined(lo, hi) -> DataFrame:
         w_lo, w_hi = F.lit(lo).cast("timestamp"), F.lit(hi + dt.timedelta(days=1)).cast("timestamp")
         cond = (
             F.col(part_col).between(F.lit(lo), F.lit(hi + dt.timedelta(days=span_days)))
@@ -192,17 +190,25 @@ def _chunked_broadcast_join(rows: DataFrame, stats: DataFrame, rules: Rules, chu
             & (F.col(WIN) < w_hi)
         )
         side = stats.filter((F.col(WIN) >= w_lo) & (F.col(WIN) < w_hi))
-        parts.append(rows.filter(cond).join(F.broadcast(side), keys, "left"))
+        return rows.filter(cond).join(F.broadcast(side), keys, "left")
+
     # ``part_col`` was checked to equal the date of ``rules.time`` on every
     # row, so the rows no range takes are exactly those without a time: the
     # NULL partition (pruned, not a second full scan)
     rest = rows.filter(F.col(part_col).isNull()).select(
         "*", *[F.lit(None).cast("double").alias(c) for c in stat_columns(rules)]
     )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.unionByName(rest)
+    if len(chunks) <= RANGES_PER_PLAN:
+        return reduce(DataFrame.unionByName, [joined(*c) for c in chunks], rest.select(*joined(*chunks[0]).columns))
+    # lot by lot into one table in the shared folder: each row is read, joined
+    # and written once, and only a lot's statistics are in memory at a time
+    path = scratch_path(rows.sparkSession, "assessed-ranges")
+    names = joined(*chunks[0]).columns
+    rest.select(*names).write.parquet(path)
+    for i in range(0, len(chunks), RANGES_PER_PLAN):
+        lot = reduce(DataFrame.unionByName, [joined(*c) for c in chunks[i : i + RANGES_PER_PLAN]])
+        lot.select(*names).write.mode("append").parquet(path)
+    return rows.sparkSession.read.schema(lot.select(*names).schema).parquet(path)
 
 
 def attach_anomalies(
@@ -213,17 +219,18 @@ def attach_anomalies(
     stream_salts: int = DEFAULT_STREAM_SALTS,
     hot_list_rows: int = DEFAULT_BROADCAST_ROWS,
     partition_col: str | None = None,
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """J1 + W5/W6: join window statistics back to every record, add z-scores and
     anomaly flags.  Records with a NULL entity match no statistics (z = 0).
 
-    Statistics within ``broadcast_rows``: one broadcast join.  Above it, when
+    Statistics within ``broadcast_rows`` and ``broadcast_bytes``: one broadcast join.  Above it, when
     the caller names ``partition_col`` (a date partition column holding the
     date of ``rules.time``, as in the lake): one broadcast join per day range
     (``_chunked_broadcast_join``).  Otherwise, or when a single day is over
     the bound: a salted shuffle join."""
     if df.isStreaming:
-        return _attach_stream(df, rules, stream_salts)
+        return _with_scores(_attach_stream(df, rules, stream_salts), rules)
     cols = df.columns
     rows = df.withColumn(WIN, window_start(F.col(rules.time), rules.window))
     src, part_check = rows, None
@@ -233,13 +240,15 @@ def attach_anomalies(
         part_check = Observation("partition-date-check")
         mismatch = ~F.col(partition_col).eqNullSafe(F.to_date(F.col(rules.time)))
         src = rows.observe(part_check, F.count_if(mismatch).alias("bad"))
-    stats, n_stats = materialize_counted(
-        src.filter(F.col(WIN).isNotNull()).groupBy(WIN, rules.entity).agg(*_stat_aggs(rules)),
-        "window-stats",
-    )
+    entity_bytes = Observation("window-stats-bytes")
+    grouped = src.filter(F.col(WIN).isNotNull()).groupBy(WIN, rules.entity).agg(*_stat_aggs(rules))
+    size = F.coalesce(F.sum(F.octet_length(F.col(rules.entity).cast("string"))), F.lit(0))
+    stats, n_stats = materialize_counted(grouped.observe(entity_bytes, size.alias("bytes")), "window-stats")
+    row_bytes = 32 + 16 * len(rules.anomaly) + int(entity_bytes.get["bytes"]) / max(n_stats, 1)
+    broadcast_rows = min(broadcast_rows, int(broadcast_bytes / row_bytes))
     chunks = None
     if n_stats > broadcast_rows and part_check is not None and int(part_check.get["bad"]) == 0:
-        chunks = _day_chunks(stats, broadcast_rows, MAX_CHUNKS)
+        chunks = _day_chunks(stats, broadcast_rows)
     if n_stats <= broadcast_rows:
         joined = rows.join(F.broadcast(stats.drop("n")), [WIN, rules.entity], "left")
     elif chunks:
@@ -259,6 +268,9 @@ def _attach_stream(df: DataFrame, rules: Rules, salts: int = DEFAULT_STREAM_SALT
     carry a deterministic salt in [0, salts) and each (tiny) statistics row is
     replicated once per salt; the join key is (window, entity, salt).
 
+    Rows without a time belong to no window: they pass by the join with NULL
+    statistics, as in a batch, and are never dropped.
+
     The original time column is carried as a copy taken before the watermark
     and restored after the join, because a stream-stream join output may hold
     only one event-time column (the window key).
@@ -278,15 +290,21 @@ def _attach_stream(df: DataFrame, rules: Rules, salts: int = DEFAULT_STREAM_SALT
         keys = keys + ["_salt"]
     joined = e.drop(t).join(stats, keys, "left").withColumnRenamed("_event_ts", t)
     out = joined.select(*cols, *stat_columns(rules))
-    return _with_scores(out, rules)
+    timeless = df.filter(F.col(t).isNull()).select(*cols, *[F.lit(None).cast("double").alias(c) for c in stat_columns(rules)])
+    return out.unionByName(timeless)
 
 
 def assess(df: DataFrame, rules: Rules, **kw) -> DataFrame:
     """Full assessment: P1-P7 plus anomalies; batch or streaming."""
-    rows = assess_rows(df, rules)
     if not rules.anomaly:
-        return score_only(rows, rules)
-    return attach_anomalies(rows, rules, **kw)
+        return score_only(assess_rows(df, rules), rules)
+    if df.isStreaming:
+        # only the raw columns wait in the join's state; the checks follow
+        joined = _attach_stream(df, rules, kw.get("stream_salts", DEFAULT_STREAM_SALTS))
+        checked = assess_rows(joined, rules)
+        stats = stat_columns(rules)
+        return _with_scores(checked.select(*[c for c in checked.columns if c not in stats], *stats), rules)
+    return attach_anomalies(assess_rows(df, rules), rules, **kw)
 
 
 def score_only(df: DataFrame, rules: Rules) -> DataFrame:
@@ -318,6 +336,13 @@ def extract_issues(assessed: DataFrame, rules: Rules, ingest_col: str | None = N
     )
 
 
+def row_issues(df: DataFrame, rules: Rules) -> DataFrame:
+    """Issues that the row alone shows, without any window: records that are
+    incomplete or out of range, all their columns and checks with the score
+    they have without anomalies.  Stateless, for any stream."""
+    return score_only(assess_rows(df, replace(rules, anomaly=())), replace(rules, anomaly=())).filter(F.col("has_issues"))
+
+
 def with_severity(issues: DataFrame, mapping=scoring.DEFAULT_SEVERITY) -> DataFrame:
     """Severity label from the quality score."""
     return issues.withColumn("severity", scoring.severity(F.col("quality_score"), mapping))
@@ -335,6 +360,7 @@ __all__ = [
     "window_stats",
     "score_only",
     "extract_issues",
+    "row_issues",
     "with_severity",
     "issue_json",
 ]

@@ -15,8 +15,6 @@ from pyspark.sql import types as T
 from ..functions import scoring
 from ..rules import Rules
 
-MAX_ISSUES = 100
-
 
 def latest_per_entity(df: DataFrame, rules: Rules, order_col: str = "date") -> DataFrame:
     """Newest row per non-NULL entity.  ``max_by`` is a partial
@@ -64,16 +62,14 @@ def _issue_order(issues: DataFrame, time_col: str):
 
 
 def recent_issues(issues: DataFrame, limit: int = 10, time_col: str = "detected_at") -> DataFrame:
-    """Newest ``limit`` issues (capped at 100).  A top-k report."""
-    n = max(0, min(int(limit), MAX_ISSUES))
-    return issues.orderBy(*_issue_order(issues, time_col)).limit(n)
+    """Newest ``limit`` issues.  A top-k report."""
+    return issues.orderBy(*_issue_order(issues, time_col)).limit(max(0, int(limit)))
 
 
 def issues_by_severity(issues: DataFrame, severity: str, limit: int = 10, time_col: str = "detected_at") -> DataFrame:
-    """Issues of one severity (case-insensitive), newest first, capped at 100."""
-    n = max(0, min(int(limit), MAX_ISSUES))
+    """The newest ``limit`` issues of one severity (case-insensitive)."""
     f = issues.filter(F.lower(F.col("severity")) == F.lit(severity.lower()))
-    return f.orderBy(*_issue_order(f, time_col)).limit(n)
+    return f.orderBy(*_issue_order(f, time_col)).limit(max(0, int(limit)))
 
 
 def fresh(df: DataFrame, as_of, ttl_seconds: int, written_col: str = "written_at") -> DataFrame:

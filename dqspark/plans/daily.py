@@ -72,9 +72,11 @@ def run_daily(
     publish(res.daily, daily_path)
     daily = spark.read.parquet(daily_path)  # reuse the written table, not the lineage
     publish(stamp(latest_per_entity(daily, rules), written_at), f"{out_path}/latest")
+    # each entity's latest trend up to the run date: one that was silent on that
+    # day keeps its last
     tr = trends(daily, rules)
     if run_date is not None:
-        tr = tr.filter(F.col("date") == F.lit(run_date).cast("date"))
+        tr = latest_per_entity(tr, rules)
     with_risk = tr.withColumn(
         "predicted_issue_risk", issue_risk(F.col("trend_direction"), F.col("quality_variance"))
     )

@@ -28,7 +28,11 @@ class Monitor:
         lake: str | None = None,
         issues: str | None = None,
         summary: str | None = None,
+        max_limit: int = 100,
     ) -> None:
+        """``max_limit``: the most issues that one lookup answers with, as the
+        service's callers expect; the operators have no such limit."""
+        self.max_limit = max_limit
         self.spark, self.rules = spark, rules
         self.published, self.lake, self.issues_path, self.summary_path = published, lake, issues, summary
 
@@ -57,12 +61,12 @@ class Monitor:
         return ops.trend_lookup(self.spark, latest, self.rules, [entity])
 
     def recent_issues(self, limit: int = 10) -> DataFrame:
-        """Newest issues (at most 100)."""
-        return ops.recent_issues(self._issue_rows(), limit)
+        """Newest issues (at most ``max_limit``)."""
+        return ops.recent_issues(self._issue_rows(), min(limit, self.max_limit))
 
     def issues_by_severity(self, severity: str, limit: int = 10) -> DataFrame:
-        """Newest issues of one severity (at most 100)."""
-        return ops.issues_by_severity(self._issue_rows(), severity, limit)
+        """Newest issues of one severity (at most ``max_limit``)."""
+        return ops.issues_by_severity(self._issue_rows(), severity, min(limit, self.max_limit))
 
     def current_status(self, as_of=None, ttl_seconds: int = SUMMARY_TTL) -> DataFrame:
         """Newest micro-batch summary still inside its time-to-live."""
@@ -78,5 +82,6 @@ class Monitor:
         with the issue schema derived from the lake's schema (footer only)."""
         lake = self.spark.read.parquet(self.lake)
         schema = ops.with_severity(ops.extract_issues(lake, self.rules)).schema
-        docs = self.spark.read.json(self.issues_path)
+        # a known schema: no pass over all documents to infer one
+        docs = self.spark.read.schema("value string, batch_id bigint").json(self.issues_path)
         return docs.select(F.from_json("value", schema).alias("d")).select("d.*")

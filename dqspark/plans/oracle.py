@@ -351,18 +351,19 @@ FROM one LEFT JOIN top ON true"""
 w AS (SELECT *, CAST(date AS TIMESTAMP) + INTERVAL 1 DAY AS written_at FROM latest)
 SELECT {DAILY_COLS}, strftime(written_at, {TS}) AS written_at FROM w
 WHERE written_at > TIMESTAMP '2024-01-31 12:00:00' - INTERVAL 86400 SECOND"""
-    q["stream_assess"] = f"""WITH {SCORED},
-lim AS (SELECT max(ts) - INTERVAL 10 MINUTE AS wm FROM events)
+    q["issues_immediate"] = f"""WITH {CHECKED}
+SELECT event_id, entity, missing_fields, completeness_score, CASE WHEN completeness_score < 4 THEN 25 ELSE 75 END AS quality_score
+FROM checked WHERE completeness_score < 4 OR m1_valid = false OR m2_valid = false OR m3_valid = false"""
+    q["stream_assess"] = f"""WITH {SCORED}
 SELECT event_id, entity, round(m1_zscore, 6) AS m1_zscore, m1_anomaly, round(m2_zscore, 6) AS m2_zscore, m2_anomaly,
        has_issues, quality_score
-FROM scored, lim WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= lim.wm"""
-    q["stream_summary"] = f"""WITH {SCORED},
-lim AS (SELECT max(ts) - INTERVAL 10 MINUTE AS wm FROM events),
-closed AS (SELECT * FROM scored, lim WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= lim.wm)
-SELECT 'entity' AS level, entity, count(*) AS records, count(*) FILTER (WHERE has_issues) AS flagged_issues
-FROM closed GROUP BY entity
+FROM scored"""
+    q["stream_summary"] = f"""WITH {SCORED}
+SELECT 'entity' AS level, entity, count(*) AS records, count(*) FILTER (WHERE has_issues) AS flagged_issues,
+       round(avg(quality_score), 6) AS avg_quality_score
+FROM scored GROUP BY entity
 UNION ALL
-SELECT 'total', NULL, count(*), count(*) FILTER (WHERE has_issues) FROM closed"""
+SELECT 'total', NULL, count(*), count(*) FILTER (WHERE has_issues), round(avg(quality_score), 6) FROM scored"""
     q["issue_json"] = f"""WITH {ISSUES}
 SELECT '{{' || concat_ws(',',
     CASE WHEN subject IS NOT NULL THEN '"subject":"' || subject || '"' END,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import operators as ops
-from ..session import ensure_conf
+from ..session import ensure_conf, materialize
 from ..sources import (
     DOCUMENT_RULES,
     LINEITEM_RULES,
@@ -291,10 +291,10 @@ def _with_conf(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 def q_published_documents(spark, sf_dir):
     """Daily and trend documents for every entity's latest day, stamped with
     the end of that day."""
-    daily = present(_daily(spark, sf_dir))
-    pub = ops.latest_per_entity(daily, R)
+    once = materialize(_daily(spark, sf_dir), "daily")  # one assessment for both documents
+    pub = ops.latest_per_entity(present(once), R)
     pub = pub.withColumn("written_at", F.timestamp_seconds(F.unix_date(F.col("date")).cast("bigint") * 86400 + 86400))
-    tr = present(ops.latest_per_entity(ops.trends(_daily(spark, sf_dir), R), R))
+    tr = present(ops.latest_per_entity(ops.trends(once, R), R))
     docs = ops.daily_documents(pub, R).withColumn("kind", F.lit("daily"))
     return docs.unionByName(ops.trend_documents(tr, R).withColumn("kind", F.lit("trend")))
 
@@ -304,7 +304,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from ..streaming.queries import q_stream_assess, q_stream_summary
+    from ..streaming.queries import q_issues_immediate, q_stream_assess, q_stream_summary
 
     return {
         "json_decode": q_json_decode,
@@ -340,5 +340,6 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "published_documents": q_published_documents,
         "stream_assess": q_stream_assess,
         "stream_summary": q_stream_summary,
+        "issues_immediate": q_issues_immediate,
     }
 

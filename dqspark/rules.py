@@ -12,6 +12,11 @@ from dataclasses import dataclass, field
 from typing import Any, Mapping
 
 
+ANOMALY_KEYS = {"z_score_threshold", "fields", "window_duration", "watermark", "window_size"}
+# Short names used for derived columns where a rule file gives none.
+DEFAULT_PREFIXES = {"age": "age", "bp_systolic": "bp", "temperature": "temp"}
+
+
 @dataclass(frozen=True)
 class Range:
     min: float
@@ -84,9 +89,19 @@ class Rules:
             validity: {field: {min: .., max: ..}, ...}
             anomaly_detection: {z_score_threshold: 3, fields: [...], window_size: 1000}
 
+        Without ``fields`` the measures checked for anomalies are the required
+        fields that have a valid range.  Without ``prefixes`` derived columns
+        get the default short names.  Unknown keys are refused.
+
         ``window_size`` is the row count of the count-window check (X2);
         ``max_null_pct`` under ``completeness`` feeds the null-percentage check.
         """
+        known = {"completeness": {"required_fields", "max_null_pct"}, "validity": None, "anomaly_detection": ANOMALY_KEYS, "consistency": None, "prefixes": None}
+        for part, body in spec.items():
+            if part not in known:
+                raise ValueError(f"unknown rule section {part!r}")
+            if known[part] is not None and (odd := set(body or {}) - known[part]):
+                raise ValueError(f"unknown keys in {part!r}: {sorted(odd)}")
         required = tuple(spec["completeness"]["required_fields"])
         ranges = tuple(
             (name, Range(float(r["min"]), float(r["max"])))
@@ -96,16 +111,17 @@ class Rules:
         kwargs: dict[str, Any] = dict(roles)
         if "z_score_threshold" in ad:
             kwargs["z_threshold"] = float(ad["z_score_threshold"])
-        if "fields" in ad:
-            kwargs["anomaly"] = tuple(ad["fields"])
+        if ad:
+            bounded = {n for n, _ in ranges}
+            if "fields" in ad or "anomaly" not in kwargs:
+                kwargs["anomaly"] = tuple(ad["fields"]) if "fields" in ad else tuple(f for f in required if f in bounded)
         if "window_duration" in ad:
             kwargs["window"] = ad["window_duration"]
         if "watermark" in ad:
             kwargs["watermark"] = ad["watermark"]
         if "window_size" in ad:
             kwargs["row_window"] = int(ad["window_size"])
-        if "prefixes" in spec:
-            kwargs["prefixes"] = tuple(spec["prefixes"].items())
+        kwargs["prefixes"] = tuple((spec["prefixes"] if "prefixes" in spec else DEFAULT_PREFIXES).items())
         if "max_null_pct" in spec.get("completeness", {}):
             kwargs["max_null_pct"] = float(spec["completeness"]["max_null_pct"])
         return cls(required=required, ranges=ranges, **kwargs)
@@ -134,7 +150,7 @@ VITALS_SPEC: dict[str, Any] = {
         "temperature": {"min": 35, "max": 42},
     },
     "anomaly_detection": {"z_score_threshold": 3, "fields": ["age", "bp_systolic"]},
-    "prefixes": {"age": "age", "bp_systolic": "bp", "temperature": "temp"},
+    "prefixes": DEFAULT_PREFIXES,
 }
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -50,9 +52,9 @@ def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from the session's ``spark.checkpoint.dir`` (set by the cluster).
-    Only when it is unset (local tests) is a fresh local folder created and
-    registered.  The SparkContext is consulted only as a fallback, so this
-    also works where there is none (Spark Connect).
+    Only when it is unset and the master is local (tests) is a fresh local
+    folder created and registered; on a cluster, executors would write to
+    their own disks, so there it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
@@ -65,16 +67,42 @@ def work_dir(spark: SparkSession) -> str:
         d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
         if d:
             return d.rstrip("/")
+    master = getattr(sc, "master", None) or spark.conf.get("spark.master", "")
+    if sc is None or not re.match(r"local(\[|$)", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     d = tempfile.mkdtemp(prefix="dqspark-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(d)
-        return (sc.getCheckpointDir() or d).rstrip("/")
-    return d
+    sc.setCheckpointDir(d)
+    return (sc.getCheckpointDir() or d).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared work folder."""
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared work folder; ``drop_scratch`` removes it."""
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Removes the intermediate tables that were made inside, at its end: for
+    jobs, whose results are written by then."""
+    before = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        drop_scratch(spark, _SCRATCH[before:])
+
+
+def drop_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete intermediate tables of this process (all, or ``paths``)."""
+    jvm = spark.sparkContext._jvm
+    for p in list(_SCRATCH if paths is None else paths):
+        at = jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        _SCRATCH.remove(p)
 
 
 def materialize(df, name: str):
@@ -97,8 +125,4 @@ def materialize_counted(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path), int(obs.get["rows"])
 
 
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["local_session", "ensure_conf", "work_dir", "scratch_path", "materialize", "materialize_counted", "local_fs_path"]
+__all__ = ["local_session", "ensure_conf", "work_dir", "scratch_path", "materialize", "materialize_counted", "scratch_scope", "drop_scratch"]

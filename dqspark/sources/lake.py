@@ -21,12 +21,12 @@ MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def write_lake(assessed: DataFrame, path: str, rules: Rules, mode: str = "append") -> None:
-    """Batch write.  Rows are range-partitioned on (date, time) first: each task
-    writes into one or two date directories, and a hot date is split over
-    several tasks instead of landing in one (as ``repartition(date)`` would)."""
+    """Batch write.  ``rebalance`` brings a date's rows together, and AQE
+    splits a hot date, even one of a single time, over several tasks by size
+    (a range or hash partitioning would leave it in one)."""
     df = with_date(assessed, rules)
     (
-        df.repartitionByRange(DATE, rules.time)
+        df.hint("rebalance", DATE)
         .write.mode(mode)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(DATE)
@@ -34,19 +34,6 @@ def write_lake(assessed: DataFrame, path: str, rules: Rules, mode: str = "append
     )
 
 
-def lake_stream_writer(assessed: DataFrame, path: str, checkpoint: str, rules: Rules, trigger: dict | None = None):
-    """Append assessed rows of a stream to the lake (not started)."""
-    w = (
-        with_date(assessed, rules)
-        .writeStream.format("parquet")
-        .partitionBy(DATE)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
-    return w.trigger(**(trigger or {"processingTime": "1 minute"}))
-
-
 def read_lake(spark: SparkSession, path: str, run_date=None) -> DataFrame:
     """Scan the lake; with ``run_date`` only partitions up to that date are
     read (``PartitionFilters`` in the plan)."""
@@ -57,7 +44,8 @@ def read_lake(spark: SparkSession, path: str, run_date=None) -> DataFrame:
 
 
 def publish(df: DataFrame, path: str) -> None:
-    """Replace a published snapshot table atomically per job run."""
+    """Replace a published snapshot table.  Not atomic: a reader at the
+    moment of the overwrite can miss files."""
     df.write.mode("overwrite").parquet(path)
 
 
@@ -65,3 +53,13 @@ def stamp(df: DataFrame, written_at=None) -> DataFrame:
     """Add ``written_at`` (the publish time, for TTL lookups)."""
     ts = F.current_timestamp() if written_at is None else F.lit(written_at).cast("timestamp")
     return df.withColumn("written_at", ts)
+
+
+def compact_lake(spark: SparkSession, path: str, out: str, dates: list | None = None) -> None:
+    """Rewrite the lake's dates (all, or ``dates``) without their per-batch
+    directories: few files of up to ``MAX_RECORDS_PER_FILE`` rows per date in ``out``."""
+    df = spark.read.parquet(path)
+    if dates is not None:
+        df = df.filter(F.col(DATE).isin(*[F.lit(d).cast("date") for d in dates]))
+    w = df.drop("batch_id").hint("rebalance", DATE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(DATE).parquet(out)

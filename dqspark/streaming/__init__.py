@@ -7,5 +7,6 @@ from .pipeline import (  # noqa: F401
     issues_stream_writer,
     run_stream,
     start_assessment,
-    stop_all,
+    open_rows,
+    write_open_rows,
 )

@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import assess, batch_summary, extract_issues, issue_json, with_severity
+from ..operators import assess, batch_summary, extract_issues, issue_json, row_issues, with_severity
 from ..rules import Rules
 from ..sources.lake import with_date
 
@@ -34,6 +34,7 @@ class StreamSinks:
     issues_format: str = "json"  # "kafka" in production (needs the connector)
     issues_options: dict = field(default_factory=dict)
     console: bool = False
+    immediate: str | None = None  # row-check issues at once, by a query of their own
 
 
 def _overwrite_partitions(df: DataFrame, path: str, parts: list[str], fmt: str = "parquet", options: dict | None = None):
@@ -51,19 +52,16 @@ def batch_writer(rules: Rules, sinks: StreamSinks, ingest_col: str | None = None
         try:
             if batch.isEmpty():
                 return
-            # range-partition on (date, time): each task writes one or two date
-            # directories (few files), and a hot date still spreads over tasks
-            rows = (
-                with_date(batch, rules)
-                .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                .repartitionByRange("date", rules.time)
-            )
+            # a date's rows come together (few files), and AQE splits a hot date
+            # by size, also when all its rows have one ingestion time
+            rows = with_date(batch, rules).withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint("rebalance", "date")
             _overwrite_partitions(rows, sinks.lake, ["date", "batch_id"])
             issues = with_severity(extract_issues(batch, rules, ingest_col))
             if sinks.issues:
                 payload = issue_json(issues).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
                 if sinks.issues_format == "kafka":
-                    issue_json(issues).write.format("kafka").options(**sinks.issues_options).save()
+                    if batch_id != OPEN:  # a topic gets them when their window closes
+                        issue_json(issues).write.format("kafka").options(**sinks.issues_options).save()
                 else:
                     _overwrite_partitions(payload, sinks.issues, ["batch_id"], "json", sinks.issues_options)
             if sinks.summary:
@@ -90,6 +88,7 @@ def start_assessment(
     ingest_col: str | None = None,
     query_name: str | None = None,
     state_partitions: int | None = None,
+    stream_salts: int | None = None,
 ):
     """Assess a streaming DataFrame and start the single fan-out query.
 
@@ -101,7 +100,8 @@ def start_assessment(
     to the state, not to the batch jobs of the same session.
     """
     spark = records.sparkSession
-    assessed = assess(records, rules)
+    drop_open_rows(spark, sinks)
+    assessed = assess(records, rules, **({"stream_salts": stream_salts} if stream_salts else {}))
     w = assessed.writeStream.foreachBatch(batch_writer(rules, sinks, ingest_col)).option(
         "checkpointLocation", checkpoint
     )
@@ -142,9 +142,46 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> bool:
     return spark.streams.awaitAnyTermination(timeout)
 
 
-def stop_all(spark: SparkSession) -> None:
-    for q in spark.streams.active:
-        q.stop()
+#: ``batch_id`` of rows whose window was still open when a bounded run ended.
+OPEN = -1
+
+
+def open_rows(spark: SparkSession, checkpoint: str, rules: Rules) -> DataFrame | None:
+    """The records that wait in the join's state for their window to close, read
+    from a stopped query's checkpoint; None if the query keeps no such state."""
+    operators = spark.read.format("state-metadata").load(checkpoint).filter("operatorName = 'symmetricHashJoin'")
+    found = operators.select("operatorId").distinct().collect()  # one: the anomaly join
+    if not found:
+        return None
+    state = spark.read.format("statestore").option("operatorId", found[0][0]).option("joinSide", "left").load(checkpoint)
+    return state.select("value.*").withColumnRenamed("_event_ts", rules.time).drop("_w", "_salt")
+
+
+def write_open_rows(spark: SparkSession, rules: Rules, sinks: StreamSinks, checkpoint: str, ingest_col: str | None = None) -> None:
+    """End of a bounded run: assess the records of open windows as they stand and
+    write them under ``batch_id = -1``.  They stay in the checkpoint; the next
+    run on it removes this partition first, so no record is ever there twice."""
+    rows = open_rows(spark, checkpoint, rules)
+    if rows is not None:
+        batch_writer(rules, sinks, ingest_col)(assess(rows, rules), OPEN)
+
+
+def drop_open_rows(spark: SparkSession, sinks: StreamSinks) -> None:
+    """Remove what ``write_open_rows`` has written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    places = [f"{sinks.lake}/date=*/batch_id={OPEN}", *[f"{p}/batch_id={OPEN}" for p in (sinks.issues, sinks.summary) if p]]
+    for place in places:
+        at = jvm.org.apache.hadoop.fs.Path(place)
+        fs = at.getFileSystem(conf)
+        for found in fs.globStatus(at) or []:
+            fs.delete(found.getPath(), True)
+
+
+def immediate_issues_writer(records: DataFrame, rules: Rules, sinks: StreamSinks, checkpoint: str):
+    """Issues that need no window, missing and out-of-range values, in the
+    micro-batch that reads them (not started): row checks keep no state."""
+    found = row_issues(records, rules).writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+    return found.format("json").option("path", sinks.immediate)
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -160,8 +197,11 @@ def run_stream(
     rocksdb_state: bool = True,
     wait: bool = True,
     state_partitions: int | None = None,
+    stream_salts: int | None = None,
 ):
-    """The streaming job: raw ``value`` messages (a broker topic via
+    """The streaming job.  A bounded run (``availableNow``) that is waited for
+    ends by writing the records of still open windows (``write_open_rows``).
+    Raw ``value`` messages (a broker topic via
     ``topic_source`` or any other stream) -> decode -> assess -> sinks.
 
     Must run before any other streaming query of the session when
@@ -172,12 +212,21 @@ def run_stream(
 
     if rocksdb_state and not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    records = decode_records(raw)
+    ingest = "ingestion_time"
+    extra = None
+    if sinks.immediate:
+        extra = immediate_issues_writer(records, rules, sinks, f"{checkpoint}-immediate").trigger(**(trigger or {"processingTime": "10 seconds"})).start()
     q = start_assessment(
-        decode_records(raw), rules, sinks, checkpoint, trigger,
-        query_name="dq-assessment", state_partitions=state_partitions,
+        records, rules, sinks, checkpoint, trigger, ingest_col=ingest,
+        query_name="dq-assessment", state_partitions=state_partitions, stream_salts=stream_salts,
     )
     if wait:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(f"assessment stream failed: {q.exception()}")
+        for one in (q, extra):
+            if one is not None:
+                one.awaitTermination()
+                if one.exception() is not None:
+                    raise RuntimeError(f"assessment stream failed: {one.exception()}")
+        if (trigger or {}).get("availableNow"):
+            write_open_rows(spark, rules, sinks, checkpoint, ingest)
     return q

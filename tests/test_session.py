@@ -1,6 +1,10 @@
 """work_dir: the cluster's folder wins; a local folder only when none is set."""
 
-from dqspark.session import work_dir
+import os
+
+import pytest
+
+from dqspark.session import materialize, scratch_scope, work_dir
 
 
 class _Conf:
@@ -12,8 +16,9 @@ class _Conf:
 
 
 class _SC:
-    def __init__(self):
+    def __init__(self, master="local[2]"):
         self.dir = None
+        self.master = master
 
     def getCheckpointDir(self):
         return self.dir
@@ -44,4 +49,19 @@ def test_local_folder_only_when_unset():
     sc = _SC()
     d = work_dir(_Session({}, sc))
     assert d.endswith("/uuid") and sc.dir == d
-    assert work_dir(_Session({}, None)).startswith("/")  # Connect without a configured folder
+
+
+@pytest.mark.parametrize("session", [_Session({}, _SC("spark://host:7077")), _Session({}, _SC("local-cluster[2,1,1024]")), _Session({}, None)])
+def test_no_machine_local_folder_on_a_cluster(session):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(session)
+
+
+def test_scratch_scope_removes_what_was_made_inside(spark):
+    kept = materialize(spark.range(5), "kept")
+    with scratch_scope(spark):
+        inner = materialize(spark.range(7), "inner")
+        path = inner.inputFiles()[0]
+        assert inner.count() == 7
+    assert not os.path.exists(path.removeprefix("file://"))
+    assert kept.count() == 5
