@@ -95,5 +95,62 @@ def registry() -> dict[str, Query]:
         )}
 
 
+#: op5: templates as strings where the operator has their hashes.
+_LINE_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS place, unnest(string_split(text, chr(10))) AS line FROM documents
+),
+words AS (
+  SELECT doc_id, place, line, list_transform(
+           list_filter(string_split(regexp_replace(line, '[ \t\r\f\v]+', ' ', 'g'), ' '), lambda x: x <> ''),
+           lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS w
+  FROM lines
+),
+sized AS (
+  SELECT *, len(w) AS n, CAST(ceil((len(w) - 3) / 2) AS BIGINT) AS half, array_to_string(w, ' ') AS m FROM words
+),
+parsed AS (
+  SELECT doc_id, place, unnest(CASE
+    WHEN n < 4 OR n - (length(m) - length(replace(m, '<*>', ''))) / 3 < 2 THEN []
+    WHEN n - half >= 6 THEN ['own ' || m,
+      'second ' || n || ' ' || array_to_string(w[1:half + 3], ' '),
+      'first ' || n || ' ' || array_to_string(w[1:3], ' ') || ' | ' || array_to_string(w[half + 4:n], ' ')]
+    ELSE ['own ' || m] END) AS template
+  FROM sized
+),
+known AS (
+  SELECT template, min(doc_id) AS first_doc FROM parsed GROUP BY template HAVING count(DISTINCT doc_id) >= 3
+),
+gone AS (
+  SELECT DISTINCT p.doc_id, p.place FROM parsed p JOIN known k USING (template) WHERE p.doc_id > k.first_doc
+),
+left_over AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.place) AS text, count(*) AS n
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.place = g.place WHERE g.place IS NULL GROUP BY l.doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(o.text, '') END AS text,
+       CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS INTEGER) AS n_lines,
+       CAST(coalesce(len(string_split(d.text, chr(10))), 0) - coalesce(o.n, 0) AS INTEGER) AS n_dropped
+FROM documents d LEFT JOIN left_over o ON d.doc_id = o.doc_id
+"""
+
+_WARC_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS best,
+         CAST(CAST(unhex(sha1(coalesce(html, ''))) AS BIT) AS VARCHAR) AS bits
+  FROM pages
+)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + list_sum(
+         list_transform(range(5), lambda j: CASE WHEN substr(bits, CAST(i * 5 + j + 1 AS INTEGER), 1) = '1' THEN CAST(power(2, 4 - j) AS INTEGER) ELSE 0 END)) AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> best THEN best END AS refers_to
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The queries that DuckDB's SQL can express.  It has no look-behind (op1),
+    none of the tokenizers (op2, op6, op9, pipeline), chunk hashes (op3), XXH64
+    (op4), FP-growth (op7) or fitted machines (op10)."""
+    return {"op5_line_dedup": _LINE_SQL, "op8_warc": _WARC_SQL}
