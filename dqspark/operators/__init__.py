@@ -30,6 +30,7 @@ from .serving import (  # noqa: F401
     metrics_by_status,
     metrics_for_entity,
     recent_issues,
+    status_breakdown,
     trend_lookup,
 )
 from .trends import daily_report, predict_risk, trends  # noqa: F401

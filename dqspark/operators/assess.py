@@ -314,6 +314,8 @@ def score_only(df: DataFrame, rules: Rules) -> DataFrame:
 
 
 ISSUE_TIME = "detected_at"
+#: Times in issue documents, to the microsecond.
+ISSUE_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def extract_issues(assessed: DataFrame, rules: Rules, ingest_col: str | None = None) -> DataFrame:
@@ -350,7 +352,7 @@ def with_severity(issues: DataFrame, mapping=scoring.DEFAULT_SEVERITY) -> DataFr
 
 def issue_json(issues: DataFrame) -> DataFrame:
     """S7 payload: one JSON document per issue in column ``value`` (NULL fields omitted)."""
-    return issues.select(F.to_json(F.struct(*issues.columns)).alias("value"))
+    return issues.select(F.to_json(F.struct(*issues.columns), {"timestampFormat": ISSUE_TS}).alias("value"))
 
 
 __all__ = [

@@ -104,6 +104,14 @@ def current_status(summaries: DataFrame, as_of=None, ttl_seconds: int | None = N
     )
 
 
+def status_breakdown(summaries: DataFrame) -> DataFrame:
+    """The newest batch's summary per entity: records, flagged issues and
+    mean score, as the status answer lists them beside the total."""
+    newest = summaries.agg(F.max("batch_id").alias("_newest"))
+    rows = summaries.filter(F.col("level") == F.lit("entity")).join(F.broadcast(newest), F.col("batch_id") == F.col("_newest"))
+    return rows.drop("_newest", "level")
+
+
 # Field names of the published documents, as the consumers of
 # the source application read them.
 #   daily metrics: hospital, avgQualityScore, issueRate, totalRecords, healthStatus, timestamp

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as ops
+from ..operators.assess import ISSUE_TS
 from ..rules import Rules
 
 SUMMARY_TTL = 300
@@ -84,4 +85,4 @@ class Monitor:
         schema = ops.with_severity(ops.extract_issues(lake, self.rules)).schema
         # a known schema: no pass over all documents to infer one
         docs = self.spark.read.schema("value string, batch_id bigint").json(self.issues_path)
-        return docs.select(F.from_json("value", schema).alias("d")).select("d.*")
+        return docs.select(F.from_json("value", schema, {"timestampFormat": ISSUE_TS}).alias("d")).select("d.*")

@@ -351,6 +351,19 @@ FROM one LEFT JOIN top ON true"""
 w AS (SELECT *, CAST(date AS TIMESTAMP) + INTERVAL 1 DAY AS written_at FROM latest)
 SELECT {DAILY_COLS}, strftime(written_at, {TS}) AS written_at FROM w
 WHERE written_at > TIMESTAMP '2024-01-31 12:00:00' - INTERVAL 86400 SECOND"""
+    q["lake_daily_asof"] = q["daily_asof"]
+    q["monitor_latest"] = q["latest_metrics"]
+    q["monitor_trend"] = q["trend_lookup"]
+    q["monitor_issues"] = q["recent_issues"]
+    q["status_breakdown"] = f"""WITH {SCORED},
+b AS (
+  SELECT CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS BIGINT) AS batch_id, entity, count(*) AS records,
+         count(*) FILTER (WHERE has_issues) AS flagged_issues, round(avg(quality_score), 6) AS avg_quality_score
+  FROM scored WHERE ts IS NOT NULL GROUP BY 1, 2
+)
+SELECT batch_id, strftime(TIMESTAMP '1970-01-01' + (batch_id + 1) * INTERVAL 1 DAY, {TS}) AS written_at, entity, records,
+       flagged_issues, avg_quality_score
+FROM b WHERE batch_id = (SELECT max(batch_id) FROM b)"""
     q["issues_immediate"] = f"""WITH {CHECKED}
 SELECT event_id, entity, missing_fields, completeness_score, CASE WHEN completeness_score < 4 THEN 25 ELSE 75 END AS quality_score
 FROM checked WHERE completeness_score < 4 OR m1_valid = false OR m2_valid = false OR m3_valid = false"""
@@ -405,6 +418,7 @@ SELECT entity, '{{' || concat_ws(',',
                                 WHEN trend_direction = 'improving' AND quality_variance < 5 THEN '0.2'
                                 ELSE '0.4' END) || '}}', 'trend'
 FROM lt"""
+    q["stream_restart"] = q["stream_assess"]
     return q
 
 

@@ -306,7 +306,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from ..streaming.queries import q_issues_immediate, q_stream_assess, q_stream_summary
 
-    return {
+    from ..streaming.end_to_end import QUERIES
+
+    return QUERIES | {
         "json_decode": q_json_decode,
         "completeness_flags": q_completeness_flags,
         "completeness_labels": q_completeness_labels,
