@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import F, only, scratch_path, sql_type
+from .common import F, keep, only, scratch_path, sql_type
 
 # The record's layout (WARC 1.1).
 #   version line, then named fields, each ended by CR LF; an empty line; the block; two empty lines
@@ -25,13 +25,11 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Payload bytes with their length, SHA-256 and SHA-1 (base32)."""
+    """(rec_id, url) with the payload's length, SHA-256 and SHA-1 (base32)."""
     for b in batches:
-        data = [bytes(x.as_py() or b"") if x.is_valid else b"" for x in b.column(b.num_columns - 1)]
-        sha = [hashlib.sha256(d).digest() for d in data]
-        b32 = [base64.b32encode(hashlib.sha1(d).digest()).decode() for d in data]
-        cols = [*b.columns[:-1], pa.array(data, pa.binary()), pa.array(list(map(len, data)), pa.int64()), pa.array(sha, pa.binary()), pa.array(b32, pa.string())]
-        yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names[:-1], "payload", "payload_bytes", "sha256", "sha1"])
+        data = [x or b"" for x in b.column(2).to_pylist()]
+        facts = [pa.array(list(map(len, data)), pa.int64()), pa.array([hashlib.sha256(d).digest() for d in data], pa.binary()), pa.array([base64.b32encode(hashlib.sha1(d).digest()).decode() for d in data], pa.string())]
+        yield pa.RecordBatch.from_arrays([*b.columns[:2], *facts], names=["rec_id", "url", "payload_bytes", "sha256", "sha1"])
 
 
 def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", min_revisit_bytes: int = 0) -> None:
@@ -44,15 +42,10 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
     revisits of that id.  A null url leaves the target field out.  Writes
     ``folder/payloads`` (sha256, payload) and ``folder/headers``.
     """
-    spark = pages.sparkSession
     src = only(pages, rec_id=id_col, url=url_col, body=body_col)
     kind = sql_type(src, "rec_id")
-    src = src.select("rec_id", F.col("url").cast("string").alias("url"), F.col("body").cast("string").cast("binary").alias("body"))
-    hashed = src.mapInArrow(_digests, f"rec_id {kind}, url string, payload binary, payload_bytes bigint, sha256 binary, sha1 string")
-    # bodies go to disk once per row here; the store below keeps one of each
-    staged = scratch_path(spark, "warc-staged")
-    hashed.write.parquet(staged)
-    rows = spark.read.parquet(staged)
+    src = src.select("rec_id", F.col("url").cast("string").alias("url"), F.coalesce(F.col("body").cast("string").cast("binary"), F.lit(b"")).alias("body"))
+    rows = keep(src.mapInArrow(_digests, f"rec_id {kind}, url string, payload_bytes bigint, sha256 binary, sha1 string"), "warc-digests")
 
     facts = rows.groupBy("sha256").agg(F.max("rec_id").alias("response_id"), F.min("sha1").alias("sha1"), F.max("sha1").alias("sha1_max"), F.min("payload_bytes").alias("n"), F.max("payload_bytes").alias("n_max"))
     same = (F.col("sha1") == F.col("sha1_max")) & (F.col("n") == F.col("n_max"))
@@ -76,11 +69,12 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
         F.lit(CRLF),
     )
     heads.select("rec_id", "sha256", text.cast("binary").alias("header")).write.parquet(f"{folder}/headers")
-    # the store: the bytes of one row of each digest, the largest id's
-    # (any of equal ids); narrow keys decide, so no payload is aggregated
-    best = rows.select("sha256", "rec_id").groupBy("sha256").agg(F.max("rec_id").alias("rec_id"))
-    chosen = rows.select("rec_id", "sha256", "payload").join(best.withColumnRenamed("rec_id", "best"), "sha256").filter(F.col("rec_id").eqNullSafe(F.col("best")))
-    chosen.groupBy("sha256").agg(F.first("payload").alias("payload")).write.parquet(f"{folder}/payloads")
+    # the store: the bytes of one row of each digest, the largest id's.  Rows meet
+    # by id and digest, so the copies of a hot payload are not brought together
+    best = once.select(F.col("sha256").alias("digest"), F.col("response_id").alias("best"))
+    bodies = src.select("rec_id", F.unhex(F.sha2("body", 256)).alias("sha256"), F.col("body").alias("payload"))
+    chosen = bodies.join(best, (F.col("sha256") == F.col("digest")) & F.col("rec_id").eqNullSafe(F.col("best")))
+    chosen.select("rec_id", "sha256", "payload").dropDuplicates(["rec_id", "sha256"]).select("sha256", "payload").write.parquet(f"{folder}/payloads")
 
 
 def _same_id():
