@@ -3,25 +3,30 @@
 A per-entity window function would put a whole entity - possibly a third of
 the data - into one task.  Instead:
 
-1. sort globally by (entity, time, tie-break); the range shuffle splits a hot
-   entity over many partitions;
+1. sort the key and the measures, no other column, globally by (entity, time,
+   tie-break); the range shuffle splits a hot entity over many partitions;
 2. number rows consecutively: ``monotonically_increasing_id`` gives
    (partition, position); a table with one row per partition turns it into a
-   global index ``g`` (the numbered rows are written once to the shared work
-   folder, so a recomputed task cannot renumber them);
-3. cut ``g`` into blocks of N rows and also copy every row (key and
-   measures only) into the next block; the window of N rows ending at ``g``
+   global index ``g`` (the narrow numbered rows are written once to the shared
+   work folder, so a recomputed task cannot renumber them);
+3. cut ``g`` into blocks of N rows and also copy every narrow row into the
+   next block; the window of N rows ending at ``g``
    then lies inside group (entity, block(g)), which holds at most 2N rows;
 4. inside each group, running count / sum / sum of squares of the values
    centred on the group mean (a growing frame, O(1) per row) and
    ``lag(..., N)`` give the sums over exactly the last N rows; only each
-   group's own rows are kept.
+   group's own rows are kept;
+5. the statistics join the full rows by (entity, time, tie-break), which is
+   unique, so the full rows are shuffled once, evenly, and never copied.
 
 Rows with a NULL entity get no statistics (z = 0), as in the time-window check.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,8 +53,11 @@ def count_window_anomalies(
     keyed = df.filter(F.col(ent).isNotNull())
     nulls = df.filter(F.col(ent).isNull())
 
+    key = list(dict.fromkeys([ent, t, *order_cols]))
+    narrow = keyed.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], *[F.col(m).cast("double").alias(f"_v_{m}") for m in rules.anomaly])
+    keys = [f"_k{i}" for i in range(len(key))]
     numbered = materialize(
-        keyed.orderBy(ent, t, *order_cols).withColumn("_mid", F.monotonically_increasing_id()),
+        narrow.orderBy(*keys).withColumn("_mid", F.monotonically_increasing_id()),
         "rowwin-numbered",
     )
     pid = F.shiftright(F.col("_mid"), _POS_BITS)
@@ -65,25 +73,21 @@ def count_window_anomalies(
     )
     g = numbered.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid").withColumn("_g", F.col("_off") + pos)
 
-    # every row goes to its own block with all its columns, and to the next
-    # block as history with only the key and the measures (the history branch
-    # reads just those columns), so the shuffle carries each row's full width
-    # once
+    # every row goes to its own block, and to the next one as history
     blk = F.floor(F.col("_g") / F.lit(n))
-    own = g.withColumn("_grp", blk).withColumn("_own", F.lit(True))
-    hist = g.select(ent, "_g", *rules.anomaly, (blk + 1).alias("_grp"), F.lit(False).alias("_own"))
-    both = own.unionByName(hist, allowMissingColumns=True)
+    copies = F.explode(F.array(F.struct(blk.alias("_grp"), F.lit(True).alias("_own")), F.struct((blk + 1).alias("_grp"), F.lit(False).alias("_own"))))
+    both = g.drop("_mid", "_pid", "_off").withColumn("_copy", copies).select("*", "_copy._grp", "_copy._own").drop("_copy")
 
-    w_order = Window.partitionBy(ent, "_grp").orderBy("_g")
+    w_order = Window.partitionBy("_k0", "_grp").orderBy("_g")
     running = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = w_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # Values are centred on their group's mean before the running sums: the
     # variance is shift-invariant, and the sums then carry no mean^2 term
     # that would cancel against a small window variance.
-    both = both.select("*", *[F.avg(F.col(m).cast("double")).over(whole).alias(f"_m_{m}") for m in rules.anomaly])
+    both = both.select("*", *[F.avg(f"_v_{m}").over(whole).alias(f"_m_{m}") for m in rules.anomaly])
     sums = []
     for m in rules.anomaly:
-        x = F.col(m).cast("double") - F.col(f"_m_{m}")
+        x = F.col(f"_v_{m}") - F.col(f"_m_{m}")
         sums += [
             F.count(x).over(running).alias(f"_c_{m}"),
             F.sum(x).over(running).alias(f"_s_{m}"),
@@ -105,7 +109,9 @@ def count_window_anomalies(
         mean = F.when(cnt > 0, F.col(f"_m_{m}") + s / cnt)
         var = F.when(cnt > 1, F.greatest((q - s * s / cnt) / (cnt - 1), F.lit(0.0)))
         stats += [mean.alias(f"{p}_mean"), F.sqrt(var).alias(f"{p}_stddev")]
-    keyed_out = acc.select(*cols, *stats)
+    found = acc.select(*keys, *stats)
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(key, keys)]
+    keyed_out = keyed.join(found, reduce(and_, same)).select(*cols, *[c for c in found.columns if c not in keys])
 
     null_stats = []
     for m in rules.anomaly:
