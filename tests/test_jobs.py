@@ -5,8 +5,11 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from dqspark import Rules, vitals_rules
 from dqspark.jobs import main
+from dqspark.operators import assess
 
 YAML = """
 completeness:
@@ -52,3 +55,57 @@ def test_stream_then_daily_job(spark):
     latest = spark.read.parquet(f"{root}/out/latest")
     assert sorted(r["hospital"] for r in latest.collect()) == ["H0", "H1"]
     assert spark.read.parquet(f"{root}/out/daily").count() >= 4
+
+
+PLAIN = """
+completeness:
+  required_fields: [patient_id, hospital, age, bp_systolic]
+validity:
+  age: {min: 0, max: 120}
+  bp_systolic: {min: 70, max: 250}
+  temperature: {min: 35, max: 42}
+anomaly_detection:
+  z_score_threshold: 3
+"""
+
+
+def test_plain_rule_file_checks_anomalies(spark, tmp_path):
+    """A file that names no anomaly fields and no prefixes means the default ones."""
+    (tmp_path / "rules.yaml").write_text(PLAIN)
+    rules = Rules.from_yaml(str(tmp_path / "rules.yaml"))
+    assert rules == vitals_rules()
+    rows = [(f"P{i}", "H", 40 + i % 3, 120 + i % 5, dt.datetime(2024, 1, 1)) for i in range(60)] + [("P99", "H", 110, 121, dt.datetime(2024, 1, 1))]
+    df = spark.createDataFrame(rows, "patient_id string, hospital string, age int, bp_systolic int, ingestion_time timestamp")
+    scored = assess(df.selectExpr("*", "36.5D AS temperature"), rules)
+    assert {"age_valid", "bp_valid", "temp_valid"} <= set(scored.columns)
+    assert [r.patient_id for r in scored.filter("quality_score = 50").collect()] == ["P99"]
+
+
+@pytest.mark.parametrize("odd", [{"anomaly": {}}, {"anomaly_detection": {"zscore": 3}}])
+def test_unknown_rule_keys_are_refused(odd):
+    with pytest.raises(ValueError, match="unknown"):
+        Rules.from_dict({"completeness": {"required_fields": ["a"]}} | odd)
+
+
+def _lines(n=118):
+    base = dt.datetime(2024, 1, 1)
+    good = [json.dumps({"patient_id": f"P{i}", "hospital": f"H{i % 2}", "age": 40 + i % 5, "bp_systolic": 120, "timestamp": (base + dt.timedelta(minutes=i)).isoformat()}) for i in range(n)]
+    return good + ["not json", json.dumps({"patient_id": "P", "hospital": "H", "age": 1, "bp_systolic": 120, "timestamp": "nope"})]
+
+
+@pytest.mark.parametrize("time", ["ingestion_time", "timestamp"])
+def test_bounded_run_loses_and_doubles_nothing(spark, tmp_path, time):
+    os.makedirs(f"{tmp_path}/in")
+    job = ["stream", "--time", time, "--source", "text", "--input", f"{tmp_path}/in", "--lake", f"{tmp_path}/lake",
+           "--issues", f"{tmp_path}/issues", "--immediate", f"{tmp_path}/now", "--checkpoint", f"{tmp_path}/ckpt",
+           "--trigger", "available-now", "--state-partitions", "2", "--stream-salts", "2"]
+    lines = _lines()
+    for k, part in enumerate((lines[:70], lines[70:])):
+        with open(f"{tmp_path}/in/{k}.txt", "w") as fh:
+            fh.write("\n".join(part) + "\n")
+        main(job)
+        lake = spark.read.parquet(f"{tmp_path}/lake")
+        assert lake.count() == (70, 120)[k]
+        assert lake.filter("patient_id LIKE 'P_%'").select("patient_id").distinct().count() == (70, 118)[k]
+    assert [r.quality_score for r in lake.filter("patient_id IS NULL").collect()] == [25]  # the malformed line
+    assert spark.read.json(f"{tmp_path}/now").count() == 1

@@ -171,3 +171,50 @@ def test_chunked_plan_needs_a_true_date_column(spark):
     assert plan.count("BroadcastHashJoin") < 4  # not the per-range plan
     ref = sorted((tuple(r) for r in attach_anomalies(rows, R).select(*COLS).collect()), key=str)
     assert sorted((tuple(r) for r in out.select(*COLS).collect()), key=str) == ref
+
+
+def test_more_ranges_than_a_plan_holds(spark, monkeypatch):
+    from dqspark.operators import assess as _  # noqa: F401
+    import importlib
+
+    mod = importlib.import_module("dqspark.operators.assess")
+    monkeypatch.setattr(mod, "RANGES_PER_PLAN", 2)
+    root = tempfile.mkdtemp(prefix="dq-lots-")
+    raw = event_readings(spark, SF).withColumn("ts", F.when(F.col("event_id") % 500 == 0, None).otherwise(F.col("ts")))
+    raw.withColumn("date", F.to_date("ts")).write.partitionBy("date").parquet(f"{root}/raw")
+    rows = assess_rows(spark.read.parquet(f"{root}/raw"), R)
+    ref = sorted((tuple(r) for r in attach_anomalies(rows, R).select(*COLS).collect()), key=str)
+    got = attach_anomalies(rows, R, broadcast_rows=50, partition_col="date")
+    assert sorted((tuple(r) for r in got.select(*COLS).collect()), key=str) == ref
+    by_bytes = attach_anomalies(rows, R, broadcast_bytes=4000, partition_col="date")
+    assert sorted((tuple(r) for r in by_bytes.select(*COLS).collect()), key=str) == ref
+
+
+def test_hot_list_beyond_its_bound_leaves_no_key_unsplit(spark):
+    rows = assess_rows(event_readings(spark, SF), R)
+    ref = sorted((tuple(r) for r in attach_anomalies(rows, R).select(*COLS).collect()), key=str)
+    got = attach_anomalies(rows, R, broadcast_rows=0, hot_rows=10, hot_list_rows=3)
+    assert sorted((tuple(r) for r in got.select(*COLS).collect()), key=str) == ref
+
+
+def test_lake_write_splits_one_ingestion_time(spark, tmp_path):
+    """All rows of one moment: no range of (date, time) could split them."""
+    df = spark.range(300_000).select(F.uuid().alias("patient_id"), F.timestamp_seconds(F.lit(1_700_000_000)).alias("ts"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "2m")
+    try:
+        write_lake(df, f"{tmp_path}/lake", R)
+    finally:
+        spark.conf.set(key, prev)
+    back = spark.read.parquet(f"{tmp_path}/lake")
+    assert back.count() == 300_000 and len(back.inputFiles()) > 2
+
+
+def test_stream_reads_a_table_of_part_files(spark, tmp_path):
+    from dqspark.streaming.queries import q_stream_assess
+
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    got = sorted(map(tuple, q_stream_assess(spark, str(tmp_path)).collect()))
+    assert got == sorted(map(tuple, q_stream_assess(spark, "/root/testdata/sf0.001").collect()))
+    assert len(got) == 1000
