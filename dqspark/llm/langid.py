@@ -5,7 +5,7 @@ with a space between words), hashed into ``BUCKETS`` places; a text's weight
 at a place is its share of the text's n-grams.  Linear support vector machines
 tell families apart, one against another; then, within the winning family, one
 language against another.  Votes decide, margins break ties.  Machines are
-fitted by Spark ML on a bounded sample; scoring sums weights over all n-grams
+fitted on a bounded sample, each by its own task; scoring sums weights over all n-grams
 of the whole text and stores no vectors.
 """
 
@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -162,9 +163,6 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order_c
     """Machines fitted on at most ``sample`` rows of each language, the first by a
     hash of ``order_col``; rows of null language or text don't count.  The
     number of languages is taken to be small (tens)."""
-    from pyspark.ml.classification import LinearSVC
-    from pyspark.ml.functions import array_to_vector
-
     src = only(docs, text=text_col, lang=lang_col, at=order_col).filter("lang IS NOT NULL AND text IS NOT NULL")
     src = src.withColumn("rank", F.xxhash64(F.col("at").cast("string"))).select("lang", "text", "rank")
     # the sample: a threshold on the hash first, so only about twice the sample is sorted
@@ -175,27 +173,56 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order_c
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(1).to_pylist()
+            texts = b.column(2).to_pylist()
             for i in range(0, len(texts), 256):
-                part = texts[i : i + 256]
-                lists = pa.array([vector(t) for t in part], pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, len(part)), lists], names=["lang", "features"])
+                lists = pa.array([vector(t).astype(np.float32) for t in texts[i : i + 256]], pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([*[c.slice(i, len(lists)) for c in b.columns[:2]], lists], names=["lang", "rank", "features"])
 
-    rows = keep(top.select("lang", "text").mapInArrow(vectors, "lang string, features array<double>"), "langid-sample")
+    rows = keep(top.select("lang", "rank", "text").mapInArrow(vectors, "lang string, rank bigint, features array<float>"), "langid-sample")
     model = Machines([r[0] for r in rows.select("lang").distinct().collect()])
-    table = rows.select("lang", array_to_vector("features").alias("features")).coalesce(6)
-    names = {x: family(x) for x in model.languages}
+    if not model.pairs:
+        return model
+    # each machine is fitted by a task of its own, on at most ``sample`` rows of each of its languages
+    sides = []
     for k, (level, a, b) in enumerate(model.pairs):
-        side = {x: (names[x] if level == "family" else x) for x in model.languages}
-        ones = [x for x, s in side.items() if s == a]
-        both = ones + [x for x, s in side.items() if s == b]
-        part = table.filter(F.col("lang").isin(both)).withColumn("label", F.col("lang").isin(ones).cast("double"))
-        machine = LinearSVC(maxIter=25, regParam=1e-4, standardization=True).fit(part)
-        model.weights[:, k] = machine.coefficients.toArray()
-        model.bias[k] = machine.intercept
+        for x in model.languages:
+            side = family(x) if level == "family" else x
+            if side in (a, b) and (level == "family" or family(x) == family(a)):
+                sides.append((x, k, 1.0 if side == a else -1.0))
+    parts = rows.join(F.broadcast(docs.sparkSession.createDataFrame(sides, "lang string, machine int, label double")), "lang")
+    for r in parts.groupBy("machine").applyInPandas(_fitted, "machine int, weights array<double>, bias double").collect():
+        model.weights[:, r["machine"]] = r["weights"]
+        model.bias[r["machine"]] = r["bias"]
     return model
 
 
+def _fitted(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values(["lang", "rank"], kind="stable")
+    w, bias = svm(np.stack(pdf["features"].to_list()).astype(np.float64), pdf["label"].to_numpy())
+    return pd.DataFrame({"machine": [int(pdf["machine"].iloc[0])], "weights": [w], "bias": [bias]})
+
+
+def svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 200) -> tuple[np.ndarray, float]:
+    """Weights and bias of a linear machine: squared hinge loss, both sides of
+    equal weight, by Nesterov's accelerated gradient on standardised features."""
+    mean, sd = x.mean(axis=0), x.std(axis=0)
+    scale = np.where(sd > 0, 1 / np.maximum(sd, np.median(sd[sd > 0]) if (sd > 0).any() else 1), 0)
+    z = (x - mean) * scale
+    size = np.sqrt((z**2).sum(axis=1).max()) or 1.0
+    z = np.hstack([z / size, np.ones((len(z), 1))])
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
+    w, ahead, t = np.zeros(z.shape[1]), np.zeros(z.shape[1]), 1.0
+    for _ in range(steps):
+        slack = np.maximum(0, 1 - y * (z @ ahead))
+        grad = penalty * ahead - 2 * ((weight * y * slack) @ z)
+        new = ahead - grad / (4 + penalty)  # rows are at most sqrt(2) long
+        t, last = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
+        ahead = new + (last - 1) / t * (new - w)
+        w = new
+    out = w[:-1] * scale / size
+    return out, float(w[-1] - out @ mean)
+
+
 def identify(docs: DataFrame, model: Machines, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of every row: a fitted language, or ``und`` and 0
     for a null text or one without letters.  Only the text is looked at."""
