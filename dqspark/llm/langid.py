@@ -50,7 +50,7 @@ def _normal(text: str | None) -> bytes:
     if not text:
         return b""
     s = _NOT_LETTERS.sub(" ", text.lower()).strip()
-    return f" {s} ".encode() if s else b""
+    return f" {s} ".encode() if any(map(str.isalpha, s)) else b""  # what is left may be signs for numbers
 
 
 def _codes(buf: bytes) -> Iterator[np.ndarray]:
