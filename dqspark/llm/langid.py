@@ -202,24 +202,25 @@ def _fitted(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"machine": [int(pdf["machine"].iloc[0])], "weights": [w], "bias": [bias]})
 
 
-def svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 200) -> tuple[np.ndarray, float]:
+def svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 100) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear machine: squared hinge loss, both sides of
     equal weight, by Nesterov's accelerated gradient on standardised features."""
     mean, sd = x.mean(axis=0), x.std(axis=0)
     scale = np.where(sd > 0, 1 / np.maximum(sd, np.median(sd[sd > 0]) if (sd > 0).any() else 1), 0)
     z = (x - mean) * scale
     size = np.sqrt((z**2).sum(axis=1).max()) or 1.0
-    z = np.hstack([z / size, np.ones((len(z), 1))])
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    w, ahead, t = np.zeros(z.shape[1]), np.zeros(z.shape[1]), 1.0
+    z = np.hstack([z / size, np.ones((len(z), 1))]).astype(np.float32)
+    y = y.astype(np.float32)
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
+    w, ahead, t = np.zeros(z.shape[1], np.float32), np.zeros(z.shape[1], np.float32), 1.0
     for _ in range(steps):
         slack = np.maximum(0, 1 - y * (z @ ahead))
-        grad = penalty * ahead - 2 * ((weight * y * slack) @ z)
-        new = ahead - grad / (4 + penalty)  # rows are at most sqrt(2) long
+        grad = np.float32(penalty) * ahead - 2 * ((weight * y * slack) @ z)
+        new = ahead - grad / np.float32(4 + penalty)  # rows are at most sqrt(2) long
         t, last = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
-        ahead = new + (last - 1) / t * (new - w)
+        ahead = new + np.float32((last - 1) / t) * (new - w)
         w = new
-    out = w[:-1] * scale / size
+    out = w[:-1].astype(np.float64) * scale / size
     return out, float(w[-1] - out @ mean)
 
 
