@@ -11,6 +11,7 @@ list gives only a spanning forest of its links, never all pairs.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -22,6 +23,8 @@ from pyspark.sql import DataFrame
 
 from .common import F, keep, materialize_counted, only, sql_type, without_ids
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+RUN_BYTES = 4_000_000
 MAX_BITS = 3
 HOT_LIST = 4096
 
@@ -54,22 +57,37 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return src.mapInArrow(run, f"doc_id {sql_type(src, 'doc_id')}, fp bigint")
 
 
+def _word_runs(text: bytes, k: int) -> Iterator[list[bytes]]:
+    """The words, a few MB of text at a time, such that each ``k`` successive words
+    are in one run together; fewer words in all are one run."""
+    held: list[bytes] = []
+    at, first = 0, True
+    while at < len(text):
+        cut = _SPACE.search(text, at + RUN_BYTES) if len(text) - at > RUN_BYTES else None
+        end = cut.start() if cut else len(text)
+        held += text[at:end].split()
+        at = end
+        if len(held) >= k or (first and at == len(text) and held):
+            yield held
+            held, first = held[len(held) - k + 1 :] if k > 1 else [], False
+
+
 def fingerprints_of(texts: list[str | None], shingle: int = 3) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
     out = np.zeros(len(texts), dtype=np.uint64)
     for i, t in enumerate(texts):
-        words = t.encode().lower().split() if t else []
-        if not words:
-            continue
-        k = min(shingle, len(words))
-        text = b" ".join(words)
-        end = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
-        start = np.concatenate(([0], end[:-1] + 1))
-        h = np.array([digest(text[s:e], 42) for s, e in zip(start[: len(words) - k + 1].tolist(), end[k - 1 :].tolist())], dtype="<u8")
-        ones = np.zeros(64, dtype=np.int64)
-        for at in range(0, len(h), 1 << 16):
-            ones += np.unpackbits(h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out[i] = np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0]
+        ones, total = np.zeros(64, dtype=np.int64), 0
+        for words in _word_runs(t.encode().lower() if t else b"", shingle):
+            k = min(shingle, len(words))
+            text = b" ".join(words)
+            end = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
+            start = np.concatenate(([0], end[:-1] + 1))
+            h = np.array([digest(text[s:e], 42) for s, e in zip(start[: len(words) - k + 1].tolist(), end[k - 1 :].tolist())], dtype="<u8")
+            total += len(h)
+            for at in range(0, len(h), 1 << 16):
+                ones += np.unpackbits(h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        if total:
+            out[i] = np.packbits(2 * ones > total, bitorder="little").view("<u8")[0]
     return out
 
 

@@ -87,6 +87,13 @@ def brute_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
+def test_long_texts_in_runs(monkeypatch):
+    monkeypatch.setattr(simhash, "RUN_BYTES", 10)
+    rng = np.random.default_rng(8)
+    texts = ["", "  ", "a", " a b ", "a b c", "one two   ", "x" * 50, *(" ".join(rng.choice(["a", "Bb", "ccc", "", "\t", "d" * 20], n)) for n in range(1, 40))]
+    assert simhash.fingerprints_of(texts).tolist() == [brute_fingerprint(t) for t in texts]
+
+
 @pytest.mark.parametrize("hot", [4096, 4])
 def test_near_duplicates(spark, hot):
     rng = np.random.default_rng(4)
