@@ -70,11 +70,14 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
     )
     heads.select("rec_id", "sha256", text.cast("binary").alias("header")).write.parquet(f"{folder}/headers")
     # the store: the bytes of one row of each digest, the largest id's.  Rows meet
-    # by id and digest, so the copies of a hot payload are not brought together
-    best = once.select(F.col("sha256").alias("digest"), F.col("response_id").alias("best"))
+    # under a hash of id and digest: the copies of a hot payload are not brought
+    # together, and one shuffle of the payloads serves the join and the choice
+    # among equal rows.  Reading checks every payload against its digests.
+    spot = lambda rec_id, digest: F.xxhash64(rec_id, digest).alias("spot")
+    best = once.select(spot(F.col("response_id"), F.col("sha256")))
     bodies = src.select("rec_id", F.unhex(F.sha2("body", 256)).alias("sha256"), F.col("body").alias("payload"))
-    chosen = bodies.join(best, (F.col("sha256") == F.col("digest")) & F.col("rec_id").eqNullSafe(F.col("best")))
-    chosen.select("rec_id", "sha256", "payload").dropDuplicates(["rec_id", "sha256"]).select("sha256", "payload").write.parquet(f"{folder}/payloads")
+    chosen = bodies.select(spot(F.col("rec_id"), F.col("sha256")), "sha256", "payload").join(best, "spot", "left_semi")
+    chosen.dropDuplicates(["spot"]).select("sha256", "payload").write.parquet(f"{folder}/payloads")
 
 
 def _same_id():
