@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,13 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[f"`{c}`"].alias(name) for name, c in columns.items()])
 
 
+def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows, ``rows`` at a time, so a task holds few texts as Python objects at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 2_000_000) -> DataFrame:
     """The rows of ``docs`` whose id is not among ``ids`` (one column); rows
     with a null id stay.  Up to ``broadcast_rows`` different ids (about 20 MB)
@@ -36,4 +46,4 @@ def sql_type(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-__all__ = ["F", "table", "keep", "materialize_counted", "scratch_path", "only", "sql_type", "without_ids"]
+__all__ = ["F", "table", "keep", "materialize_counted", "scratch_path", "only", "small_batches", "sql_type", "without_ids"]

@@ -39,7 +39,7 @@ _BYTES = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[0-9]+| ?[^\s{_L}0-9]+|
 _PLAIN = re.compile(rf"[\t-\r -~{_L[6:]}]*\Z")
 _WIDE_SPACE = re.compile("[\x85\xa0  -     　]")
 
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 1_500_000
 
 _SPACE, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
 
@@ -72,7 +72,7 @@ class BatchEncoder:
     the counts.  The cache holds ``max_pieces`` pieces and starts anew when full.
     ``known`` is an optional table piece -> count that is asked before it."""
 
-    def __init__(self, path: str, max_pieces: int = 600_000, known: dict | None = None):
+    def __init__(self, path: str, max_pieces: int = 300_000, known: dict | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -81,13 +81,7 @@ class BatchEncoder:
         self.pattern = _WORD_ENDS if self.word_ends else _BYTES
         self.model = self.lib.model
         self.specials = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        # the same merges for text that is normalised already; special strings are plain text there
-        self.raw = Tokenizer.from_file(path)
-        self.raw.encode_special_tokens = True
-        if self.word_ends:
-            from tokenizers import normalizers
-
-            self.raw.normalizer = normalizers.Sequence([])
+        self.path, self._raw = path, None
         self.letters = _byte_letters()
         self.known = known or {}
         self.pieces: dict[bytes, bytes] = {}
@@ -97,6 +91,19 @@ class BatchEncoder:
         self.t2 = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
         self.power = np.ones(1, dtype=np.uint64)
 
+    @property
+    def raw(self):
+        """The same merges for text that is normalised already; special strings are
+        plain text there.  Loaded when a text first needs it."""
+        if self._raw is None:
+            from tokenizers import Tokenizer, normalizers
+
+            self._raw = Tokenizer.from_file(self.path)
+            self._raw.encode_special_tokens = True
+            if self.word_ends:
+                self._raw.normalizer = normalizers.Sequence([])
+        return self._raw
+
     # -- one piece ---------------------------------------------------------
 
     def _word(self, w: str) -> bytes:

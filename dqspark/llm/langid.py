@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 
-from .common import F, keep, only, sql_type
+from .common import F, keep, only, small_batches, sql_type
 
 BUCKETS = 1 << 12
 SAMPLE = 500  # training rows of a language, at most
 UNKNOWN = "und"
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 # Families of language codes; a code that isn't listed is a family of its own.
 #   germanic: en de nl sv da no is af    romance: fr es it pt ro ca gl
@@ -230,7 +230,7 @@ def identify(docs: DataFrame, model: Machines, id_col: str = "doc_id", text_col:
     weights = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small_batches(batches, 1024):
             lang, score = weights.value.predict(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
@@ -245,7 +245,7 @@ def identified(docs: DataFrame, model: Machines, text_col: str = "text") -> Data
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small_batches(batches, 1024):
             lang, _ = shared.value.predict(b.column(at).to_pylist())
             yield b.filter(pa.array([x != UNKNOWN for x in lang], pa.bool_()))
 

@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import F, keep, materialize_counted, only, sql_type
+from .common import F, keep, materialize_counted, only, small_batches, sql_type
 from .encoder import encoder
 
 CAPACITY = 4096
@@ -31,7 +31,7 @@ def pieces_of(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
-        for b in batches:
+        for b in small_batches(batches):
             row, piece, length, crc = [], [], [], []
             for i, ids in enumerate(e.lists(b.column(1).to_pylist())):
                 ids = np.append(ids, np.uint32(eos)).astype("<u4")

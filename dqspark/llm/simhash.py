@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import F, keep, materialize_counted, only, sql_type, without_ids
+from .common import F, keep, materialize_counted, only, small_batches, sql_type, without_ids
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 RUN_BYTES = 4_000_000
@@ -49,7 +49,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shingle; no words (or a null text) give 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small_batches(batches):
             fp = fingerprints_of(b.column(1).to_pylist(), shingle)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import F, only, sql_type
+from .common import F, only, small_batches, sql_type
 from .encoder import BatchEncoder, encoder
 
 TABLE_SIZE = 32_768
@@ -35,7 +35,7 @@ def frequent_pieces(docs: DataFrame, path: str, text_col: str = "text", size: in
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         seen: Counter = Counter()
-        for b in batches:
+        for b in small_batches(batches, 2048):
             for keys, n in e.tally(b.column(0).to_pylist()):
                 for k, c in zip(keys, n.tolist()):
                     if c > 1 or k in seen:
@@ -69,7 +69,7 @@ def count_tokens(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, known=shared.value, known_name=name)
-        for b in batches:
+        for b in small_batches(batches, 2048):
             text = b.column(1)
             n = e.counts(text.to_pylist())
             size = pc.fill_null(pc.binary_length(text), 0).cast(pa.int64())

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 
-from .common import F, keep, only, scratch_path, sql_type
+from .common import F, keep, only, scratch_path, small_batches, sql_type
 from .encoder import encoder
 
 BLOCK = 128
@@ -143,7 +143,7 @@ def write_ids(
         names: list = []
         parts: list[np.ndarray] = []
         size = page = 0
-        for b in batches:
+        for b in small_batches(batches):
             for d, ids in zip(b.column(0).to_pylist(), e.lists(b.column(1).to_pylist())):
                 names.append(d)
                 parts.append(np.append(ids, np.uint32(eos)))

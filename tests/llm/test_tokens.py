@@ -107,3 +107,13 @@ def test_pack_documents(spark, docs):
     assert sorted(parts[7]) == [(k, len(ids[64 * k : 64 * k + 64]), crc(ids[64 * k : 64 * k + 64])) for k in range(-(-len(ids) // 64))]
     assert parts[1] == [(0, 1, crc([1]))] and len(parts[3]) == 2 and parts[None]
     assert packing.pack_documents(docs.limit(0), WORDS).collect() == []
+
+
+def test_bounded_memory_slices(spark, monkeypatch):
+    """Results don't depend on how rows are cut into batches."""
+    from dqspark.llm import common
+
+    rows = pytest.importorskip("pyarrow").RecordBatch.from_pydict({"a": list(range(1300))})
+    parts = list(common.small_batches([rows, rows.slice(0, 0)]))
+    assert [p.num_rows for p in parts] == [512, 512, 276]
+    assert [x for p in parts for x in p.column(0).to_pylist()] == list(range(1300))
