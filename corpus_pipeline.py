@@ -25,7 +25,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines whose template recurs; ``n_chars`` counts anew."""
-    out = drop_lines(docs, whole_rows=True)
+    out = drop_lines(docs, whole_rows=True, short_lines=True)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 

@@ -22,7 +22,7 @@ from .common import keep, materialize_counted, only
 
 LEADING = 3
 MIN_DOCS = 3
-MIN_WORDS = 4  # shorter lines are kept
+MIN_WORDS = 4  # shorter lines are kept, or with ``short_lines`` have their own template only
 MIN_FIXED = 6  # words that a template with a variable half must fix
 #: Recurring templates up to this many (16 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 2_000_000
@@ -41,20 +41,26 @@ def _words_of(line: Column, n: Column) -> Column:
     return F.call_function("substring_index", line, F.lit(" "), n)
 
 
-def _masked(text: Column) -> Column:
-    """The text with one space between words and ``<*>`` for words with a digit."""
+def _spaced(text: Column) -> Column:
+    """The text with one space between words."""
     odd = reduce(or_, [F.contains(text, F.lit(x)) for x in ("\t", "\r", "\f", "\x0b", "  ")])
-    spaced = F.when(odd, F.regexp_replace(text, "[ \t\r\f\x0b]+", " ")).otherwise(text)
-    return _let(spaced, lambda t: F.when(t.rlike("[0-9]"), F.regexp_replace(t, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*", VARIABLE)).otherwise(t))
+    return F.when(odd, F.regexp_replace(text, "[ \t\r\f\x0b]+", " ")).otherwise(text)
 
 
-def line_templates(text: Column, leading: int = LEADING, min_words: int = MIN_WORDS, min_fixed: int = MIN_FIXED) -> Column:
+def _mask(spaced: Column) -> Column:
+    """The text with ``<*>`` for words with a digit."""
+    return F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*", VARIABLE)).otherwise(spaced)
+
+
+def line_templates(text: Column, leading: int = LEADING, min_words: int = MIN_WORDS, min_fixed: int = MIN_FIXED, short_lines: bool = False) -> Column:
     """For each line of ``text`` the hashes of the templates that it belongs to:
     its own with variable fields masked, then those with a variable second
-    and first half; none for lines of few words."""
+    and first half; none for lines of few words, or with ``short_lines`` the
+    line's own too, unmasked if fewer than two words are plain; none for an
+    empty line."""
     length = lambda c, part: F.char_length(c) - F.char_length(F.replace(c, F.lit(part)))
 
-    def templates(line: Column, n: Column) -> Column:
+    def templates(line: Column, n: Column, unmasked: Column) -> Column:
         half = F.ceil((n - leading) / 2).cast("int")  # words of the first half behind the leading ones
         plain = n - length(line, VARIABLE) / len(VARIABLE)
         own = F.xxhash64(F.lit("own"), line)
@@ -66,10 +72,13 @@ def line_templates(text: Column, leading: int = LEADING, min_words: int = MIN_WO
 
         none = F.array().cast("array<bigint>")
         wide = n - half >= min_fixed  # words that are fixed with the first half variable; never more than with the second
+        if short_lines:
+            exact = F.xxhash64(F.lit("exact"), F.trim(unmasked))
+            return F.when(line == "", none).when(plain < 2, F.array(exact)).when(wide & (n >= min_words), _let(half, both)).otherwise(F.array(own))
         return F.when((n < min_words) | (plain < 2), none).when(wide, _let(half, both)).otherwise(F.array(own))
 
-    each = lambda line: _let(length(line, " ") + 1, lambda n: templates(line, n))
-    return F.transform(F.split(_masked(text), "\n"), lambda line: _let(F.trim(line), each))
+    each = lambda line, unmasked: _let(F.trim(line), lambda x: _let(length(x, " ") + 1, lambda n: templates(x, n, unmasked)))
+    return _let(_spaced(text), lambda t: F.zip_with(F.split(_mask(t), "\n"), F.split(t, "\n"), each))
 
 
 def parsed_lines(docs: DataFrame, **parsing) -> DataFrame:
@@ -105,7 +114,10 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The rows with a template's smallest id keep its lines, so nothing is lost
     from the corpus altogether.  Lines end at line feeds; lines of fewer than
-    ``min_words`` words, or with fewer than two that aren't variable, stay.
+    ``min_words`` words, or with fewer than two that aren't variable, stay
+    unless ``short_lines`` is set: then they go by their own template, those
+    with fewer than two plain words (also a line in a script without spaces)
+    by all their words as they stand.
     A line that repeats within one document only stays.  Repeated rows count
     as documents of their own and are treated alike.  A null text has no lines
     and stays null; an empty text has one empty line.  Rows with a null id are

@@ -50,7 +50,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_lines(table(spark, sf_dir, "documents"))
+    return drop_lines(table(spark, sf_dir, "documents"), short_lines=True)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -200,6 +200,21 @@ def test_drop_lines_whole_rows(spark):
     assert linededup.drop_lines(docs.limit(0)).collect() == []
 
 
+SHORT = [
+    (1, "All rights reserved.\nChapter 7 begins\n1 2 3\nalpha\n本文無空格的一行很長的文字\n\n "),
+    (2, "All  rights reserved.\nChapter 8 begins\n1 2 4\nalpha\n本文無空格的一行很長的文字\n\n "),
+    (3, "All rights reserved.\r\nChapter 9 begins\n1 2 3\nbeta\n本文無空格的一行很長的文字\n\n "),
+    (4, "1\t2 3\nPage 7\nalpha"),
+    (5, "Page 8\nPage 7\ngamma"),
+    (6, "Page 7\ngamma"),
+]
+
+
+def test_drop_short_lines(spark):
+    got = {r.doc_id: r.text for r in linededup.drop_lines(frame(spark, SHORT), short_lines=True).collect()}
+    assert got == {1: SHORT[0][1], 2: "1 2 4\n\n ", 3: "beta\n\n ", 4: "Page 7", 5: "Page 8\ngamma", 6: "gamma"}
+
+
 # -- web archive
 
 
