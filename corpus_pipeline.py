@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dqspark.llm.common import keep, table, without_ids
 from dqspark.llm.decontaminate import contaminated
 from dqspark.llm.langid import fit, held_out, identified
-from dqspark.llm.linededup import drop_lines
+from dqspark.llm.linededup import OWN_DOCS, drop_lines
 from dqspark.llm.packing import pack_documents
 from dqspark.llm.simhash import drop_near_duplicates
 
@@ -25,7 +25,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines whose template recurs; ``n_chars`` counts anew."""
-    out = drop_lines(docs, whole_rows=True, short_lines=True)
+    out = drop_lines(docs, whole_rows=True, short_lines=True, own_docs=OWN_DOCS)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 

@@ -5,9 +5,10 @@ Lines are parsed as logs are: variable fields (words with a digit) become
 leading words.  A leaf's lines that also agree in the first, or in the second
 half of their other words share a template, in which the other half is
 variable, so at least half of the words agree.  A template that recurs in
-``min_docs`` documents or more is dropped from every document but the first.
+``min_docs`` documents or more is dropped from every document but the first; one
+of a whole line, in which no half is variable, in ``own_docs`` or more.
 
-Native: DataFrame functions only.  Templates are told apart by 64-bit hashes.
+Native: DataFrame functions only.  Templates are told apart by 63 bits of a hash.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from .common import keep, materialize_counted, only
 
 LEADING = 3
 MIN_DOCS = 3
+OWN_DOCS = 2  # the same for whole lines, where a caller asks for that
 MIN_WORDS = 4  # shorter lines are kept, or with ``short_lines`` have their own template only
 MIN_FIXED = 6  # words that a template with a variable half must fix
 #: Recurring templates up to this many (16 bytes each) are broadcast; more are joined by shuffle.
@@ -57,23 +59,24 @@ def line_templates(text: Column, leading: int = LEADING, min_words: int = MIN_WO
     its own with variable fields masked, then those with a variable second
     and first half; none for lines of few words, or with ``short_lines`` the
     line's own too, unmasked if fewer than two words are plain; none for an
-    empty line."""
+    empty line.  The lowest bit says whether the template is of the whole line."""
+    whole, part = lambda h: h.bitwiseOR(F.lit(1)), lambda h: h.bitwiseAND(F.lit(-2))
     length = lambda c, part: F.char_length(c) - F.char_length(F.replace(c, F.lit(part)))
 
     def templates(line: Column, n: Column, unmasked: Column) -> Column:
         half = F.ceil((n - leading) / 2).cast("int")  # words of the first half behind the leading ones
         plain = n - length(line, VARIABLE) / len(VARIABLE)
-        own = F.xxhash64(F.lit("own"), line)
+        own = whole(F.xxhash64(F.lit("own"), line))
 
         def both(h: Column) -> Column:
-            second = F.xxhash64(F.lit("second varies"), n, _words_of(line, h + leading))
-            first = F.xxhash64(F.lit("first varies"), n, F.substring_index(line, " ", leading), _words_of(line, h + leading - n))
+            second = part(F.xxhash64(F.lit("second varies"), n, _words_of(line, h + leading)))
+            first = part(F.xxhash64(F.lit("first varies"), n, F.substring_index(line, " ", leading), _words_of(line, h + leading - n)))
             return F.array(own, second, first)
 
         none = F.array().cast("array<bigint>")
         wide = n - half >= min_fixed  # words that are fixed with the first half variable; never more than with the second
         if short_lines:
-            exact = F.xxhash64(F.lit("exact"), F.trim(unmasked))
+            exact = whole(F.xxhash64(F.lit("exact"), F.trim(unmasked)))
             return F.when(line == "", none).when(plain < 2, F.array(exact)).when(wide & (n >= min_words), _let(half, both)).otherwise(F.array(own))
         return F.when((n < min_words) | (plain < 2), none).when(wide, _let(half, both)).otherwise(F.array(own))
 
@@ -87,27 +90,28 @@ def parsed_lines(docs: DataFrame, **parsing) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("mark"), line_templates(F.col("text"), **parsing).alias("templates"))
 
 
-def recurring(parsed: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(template, first_doc) of the templates in ``min_docs`` parsed rows or more;
-    ``first_doc``: the smallest id.  A row counts a template once, so counting
+def recurring(parsed: DataFrame, min_docs: int = MIN_DOCS, own_docs: int | None = None) -> DataFrame:
+    """(template, first_doc) of the templates in ``min_docs`` parsed rows or more,
+    those of whole lines in ``own_docs``; ``first_doc``: the smallest id.  A row counts a template once, so counting
     needs no pair of row and template."""
     each = parsed.select("doc_id", F.explode_outer(F.array_distinct(F.flatten("templates"))).alias("template")).filter("template IS NOT NULL")
     counted = each.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"))
-    return counted.filter(F.col("n") >= min_docs).select("template", "first_doc")
+    least = F.when(F.col("template").bitwiseAND(F.lit(1)) == 1, min_docs if own_docs is None else own_docs).otherwise(min_docs)
+    return counted.filter(F.col("n") >= least).select("template", "first_doc")
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, broadcast_rows: int = BROADCAST_ROWS, **parsing) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, broadcast_rows: int = BROADCAST_ROWS, own_docs: int | None = None, **parsing) -> DataFrame:
     """(doc_id, mark, places): the lines (from 0) that each row of (doc_id, text)
     loses.  Texts are parsed once, into a table of hashes."""
     parsed = keep(parsed_lines(docs, **parsing), "lines-parsed")
-    known, n = materialize_counted(recurring(parsed, min_docs), "line-templates")
+    known, n = materialize_counted(recurring(parsed, min_docs, own_docs), "line-templates")
     lines = parsed.select("doc_id", "mark", F.posexplode_outer("templates").alias("place", "of_line"))
     lines = lines.select("doc_id", "mark", "place", F.explode_outer("of_line").alias("template")).filter("template IS NOT NULL")
     met = lines.join(F.broadcast(known) if n <= broadcast_rows else known, "template")
     return met.filter(F.col("doc_id") > F.col("first_doc")).groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("place")).alias("places"))
 
 
-def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES, whole_rows: bool = False, **parsing) -> DataFrame:
+def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES, whole_rows: bool = False, own_docs: int | None = None, **parsing) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped) of every row: the text without the lines
     whose template recurs.  With ``whole_rows`` the columns of ``docs`` instead,
     its text column cleaned.
@@ -117,14 +121,15 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``min_words`` words, or with fewer than two that aren't variable, stay
     unless ``short_lines`` is set: then they go by their own template, those
     with fewer than two plain words (also a line in a script without spaces)
-    by all their words as they stand.
+    by all their words as they stand.  ``own_docs`` (None: ``min_docs``) is the
+    number of documents from which a template of the whole line goes.
     A line that repeats within one document only stays.  Repeated rows count
     as documents of their own and are treated alike.  A null text has no lines
     and stays null; an empty text has one empty line.  Rows with a null id are
     counted, but keep all their lines.  Other columns are not looked at.
     """
     src = only(docs, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
-    gone = keep(dropped_lines(src.filter("text IS NOT NULL"), min_docs, broadcast_rows, **parsing), "dropped-lines")
+    gone = keep(dropped_lines(src.filter("text IS NOT NULL"), min_docs, broadcast_rows, own_docs, **parsing), "dropped-lines")
     size = gone.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("places")), F.lit(0))).first()
     # 40 bytes a row and 4 a line; more are joined by a hash of the id, without sorting texts
     gone = F.broadcast(gone) if 40 * size[0] + 4 * size[1] <= broadcast_bytes else gone.hint("shuffle_hash")

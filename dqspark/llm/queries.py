@@ -12,7 +12,7 @@ from .common import F, table
 from .decontaminate import contaminated
 from .fingerprint import fingerprint_pairs
 from .langid import fit, held_out, identify
-from .linededup import drop_lines
+from .linededup import OWN_DOCS, drop_lines
 from .packing import pack_documents
 from .simhash import near_duplicates
 from .tokencount import count_tokens
@@ -50,7 +50,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_lines(table(spark, sf_dir, "documents"), short_lines=True)
+    return drop_lines(table(spark, sf_dir, "documents"), short_lines=True, own_docs=OWN_DOCS)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,6 +215,20 @@ def test_drop_short_lines(spark):
     assert got == {1: SHORT[0][1], 2: "1 2 4\n\n ", 3: "beta\n\n ", 4: "Page 7", 5: "Page 8\ngamma", 6: "gamma"}
 
 
+TWICE = [
+    (1, "The committee met in room 12 to hear the report of the treasurer on the year\nWelcome back to our little web shop dear Anna\nsmall"),
+    (2, "other\nThe committee met in room 14 to hear the report of the treasurer on the year\nWelcome back to our little web shop dear Bob\nsmall"),
+    (3, "A passage that only this document has and that nothing else repeats\nsmall\nsmall"),
+]
+
+
+@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 0, "broadcast_bytes": 0}])
+def test_drop_whole_lines_from_two_documents_on(spark, limits):
+    got = {r.doc_id: r.text for r in linededup.drop_lines(frame(spark, TWICE), short_lines=True, own_docs=2, **limits).collect()}
+    # half-variable templates still need three documents
+    assert got == {1: TWICE[0][1], 2: "other\nWelcome back to our little web shop dear Bob", 3: "A passage that only this document has and that nothing else repeats"}
+
+
 # -- web archive
 
 
