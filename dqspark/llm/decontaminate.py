@@ -13,13 +13,16 @@ Native: DataFrame functions only.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep, materialize_counted, only
 
 WIDTH = 8
-MIN_WORDS = 5  # of a window, that are not placeholders
+MIN_WORDS = 5  # of a window, that are not placeholders; others are compared with their values
 MIN_COVERAGE = 0.25
 #: Benchmark windows up to this many (about 300 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
@@ -68,10 +71,11 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(template_text(text), _BETWEEN), lambda w: w != "")
 
 
-def _with_windows(src: DataFrame, width: int, keys: list[str]) -> DataFrame:
+def _with_windows(src: DataFrame, width: int, keys: list[str], min_words: int) -> DataFrame:
     """Keys, place and hash of each window of ``width`` template words (a slot is
     its mark alone), and the text's words with their values; texts with fewer
-    words have none.
+    words have none.  A window with fewer plain words than it needs is hashed
+    with its values, so it is only found as it stands.
 
     Words are hashed in the array, windows after it is exploded: generate, hash
     and a broadcast join then run in one generated loop, and the arrays are
@@ -83,15 +87,24 @@ def _with_windows(src: DataFrame, width: int, keys: list[str]) -> DataFrame:
     # outer: else an inferred filter on the array parses every text once more
     d = d.select(*keys, "words", "hashes", F.posexplode_outer("hashes").alias("place", "first")).filter(F.col("place") <= F.size("hashes") - width)
     rest = [F.get("hashes", F.col("place") + k) for k in range(1, width)]
-    return d.select(*keys, "words", "place", F.xxhash64("first", *rest).alias("hash"))
+    marks = [F.xxhash64(F.lit(m)) for m in (NUMBER, UNIT, NAME)]
+    slots = reduce(add, [h.isin(*marks).cast("int") for h in (F.col("first"), *rest)])
+    values = F.xxhash64(F.lit("exact"), *[F.get("words", F.col("place") + k) for k in range(width)])
+    return d.select(*keys, "words", "place", F.when(width - slots >= _least(width, min_words), F.xxhash64("first", *rest)).otherwise(values).alias("hash"))
+
+
+def _least(width: int, min_words: int) -> int:
+    """Plain words that a window needs to go by its template: one of placeholders
+    says nothing; shorter items need all but a few words."""
+    return min(min_words, max(1, width - 3))
 
 
 def _item_windows(items: DataFrame, width: int, min_words: int) -> DataFrame:
-    w = _with_windows(items, width, ["item_id"]).withColumn("said", F.slice("words", F.col("place") + 1, width))
-    # a window of placeholders says nothing; shorter items need all but a few words
+    w = _with_windows(items, width, ["item_id"], min_words).withColumn("said", F.slice("words", F.col("place") + 1, width))
     plain = F.size(F.filter("said", lambda x: ~x.rlike(f"^{_SLOT}")))
-    w = w.filter(plain >= min(min_words, max(1, width - 3))).select("item_id", F.col("place").alias("item_place"), "hash", "said")
-    return w.withColumn("of", F.size(F.collect_set("item_place").over(Window.partitionBy("item_id"))))
+    w = w.select("item_id", F.col("place").alias("item_place"), "hash", "said", (plain < _least(width, min_words)).alias("exact"))
+    places = lambda c: F.size(F.collect_set(c).over(Window.partitionBy("item_id")))
+    return w.withColumn("of", places(F.col("item_place"))).withColumn("of_templates", places(F.when(~F.col("exact"), F.col("item_place"))))
 
 
 def contaminated(
@@ -111,7 +124,9 @@ def contaminated(
     again with other values.
 
     Items shorter than ``width`` words are searched by windows of their own
-    length.  Null or empty texts and items hold nothing.  Null ids: a null
+    length.  Windows with fewer than ``min_words`` plain words are found only
+    with the item's own values; ``coverage`` is the share of all windows or of
+    the other ones, whichever is larger.  Null or empty texts and items hold nothing.  Null ids: a null
     document id is reported as null; items with a null id are searched, too.
     Equal ids count as one document (item).  Other columns are not read.
     """
@@ -119,19 +134,22 @@ def contaminated(
     items = only(benchmark, item_id=item_col, text=item_text_col).withColumn("text", F.col("text").cast("string"))
     sized = items.withColumn("n", F.least(F.size(_words(F.col("text"))), F.lit(width))).filter("text IS NOT NULL")
     found = None
-    for n in sorted(r[0] for r in sized.select("n").distinct().collect()):  # at most ``width`` numbers
+    for n in sorted(r[0] for r in sized.filter("n > 0").select("n").distinct().collect()):  # at most ``width`` numbers
         part, rows = materialize_counted(_item_windows(sized.filter(F.col("n") == n).drop("n"), n, min_words), "item-windows")
         if not rows:
             continue
         side = F.broadcast(part) if rows <= broadcast_rows else part
         there = F.slice("words", F.col("place") + 1, n)
-        hits = _with_windows(src, n, ["doc_id"]).join(side, "hash").select("doc_id", "item_id", "item_place", "of", (F.col("place") - F.col("item_place")).alias("along"), _slots(F.col("said"), there).alias("slots"))
+        hits = _with_windows(src, n, ["doc_id"], min_words).join(side, "hash").select("doc_id", "item_id", "item_place", "of", "of_templates", "exact", (F.col("place") - F.col("item_place")).alias("along"), _slots(F.col("said"), there).alias("slots"))
         one = _consistent(keep(hits, "window-hits"))
         found = one if found is None else found.unionByName(one)
     if found is None:
         kind, item_kind = src.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
         return docs.sparkSession.createDataFrame([], f"doc_id {kind}, item_id {item_kind}, windows bigint, coverage double, slots bigint, same_values boolean")
-    out = found.withColumn("coverage", F.col("windows") / F.col("of")).filter(F.col("coverage") >= min_coverage)
+    # of all windows or of those that values don't bind, whichever is more: a question asked
+    # again with other values can only hold the latter
+    of_templates = F.when(F.col("of_templates") > 0, F.col("templates") / F.col("of_templates"))
+    out = found.withColumn("coverage", F.greatest(F.col("windows") / F.col("of"), of_templates)).filter(F.col("coverage") >= min_coverage)
     return out.select("doc_id", "item_id", "windows", "coverage", "slots", "same_values")
 
 
@@ -141,15 +159,17 @@ def _slots(said: Column, there: Column) -> Column:
 
 
 def _consistent(hits: DataFrame) -> DataFrame:
-    """(doc_id, item_id, windows, of, slots, same_values) over the alignments whose
+    """(doc_id, item_id, windows, of, templates, of_templates, slots, same_values) over the alignments whose
     slots are consistent.  What is gathered for an alignment is bounded by the
     item's length."""
-    line = hits.groupBy("doc_id", "item_id", "along").agg(F.max("of").alias("of"), F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    line = hits.groupBy("doc_id", "item_id", "along").agg(F.max("of").alias("of"), F.max("of_templates").alias("of_templates"), F.collect_set(F.struct("item_place", "exact")).alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     values = lambda side: F.size(F.array_distinct(F.transform("slots", lambda p: p[side])))
     # as many different pairs as values on either side: one value for each value
     good = line.filter((F.size("slots") == values("said")) & (F.size("slots") == values("there")))
     same = F.forall("slots", lambda p: p["said"] == p["there"])
-    each = good.select("doc_id", "item_id", "of", same.alias("same"), F.size("slots").alias("n"), F.posexplode("places").alias("i", "place"))
+    each = good.select("doc_id", "item_id", "of", "of_templates", same.alias("same"), F.size("slots").alias("n"), F.posexplode("places").alias("i", "place"))
     return each.groupBy("doc_id", "item_id").agg(
-        F.count_distinct("place").alias("windows"), F.max("of").alias("of"), F.sum(F.when(F.col("i") == 0, F.col("n")).otherwise(0)).alias("slots"), F.min("same").alias("same_values")
+        F.size(F.collect_set("place.item_place")).cast("bigint").alias("windows"), F.max("of").alias("of"),
+        F.size(F.collect_set(F.when(~F.col("place.exact"), F.col("place.item_place")))).alias("templates"), F.max("of_templates").alias("of_templates"),
+        F.sum(F.when(F.col("i") == 0, F.col("n")).otherwise(0)).alias("slots"), F.min("same").alias("same_values")
     )

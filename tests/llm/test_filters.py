@@ -34,6 +34,16 @@ def test_short_items_and_no_broadcast(spark, rows):
     assert [(r.doc_id, r.item_id) for r in got] == [(1, 1)]
 
 
+SUM = "Compute 12 + 45 - 7 * 3 + 8 / 2 - 1"
+
+
+@pytest.mark.parametrize("rows", [0, 1000])
+def test_items_dense_in_values_are_searched_as_they_stand(spark, rows):
+    docs = docs_of(spark, [(1, "As asked: compute 12 + 45 - 7 * 3 + 8 / 2 - 1."), (2, "Compute 13 + 45 - 7 * 3 + 8 / 2 - 1"), (3, "12 45 7 3 8 2 1")])
+    got = decontaminate.contaminated(docs, bench_of(spark, [(1, SUM), (2, "12 30")]), broadcast_rows=rows).collect()
+    assert [(r.doc_id, r.item_id, r.windows, r.coverage, r.same_values) for r in got] == [(1, 1, 1, 1.0, True)]
+
+
 def test_decontamination_of_empty_tables(spark):
     docs, bench = docs_of(spark, [(1, ITEM)]), bench_of(spark, [(1, ITEM)])
     assert decontaminate.contaminated(docs.limit(0), bench).collect() == []
