@@ -3,10 +3,11 @@
 Numbers, units and names are replaced by typed placeholders, so a question
 that was asked again with other values keeps its template.  Windows of
 ``WIDTH`` template tokens of the benchmark are hash-joined to those of every
-document.  Along each alignment (document place minus item place) the slots
-must be consistent: a value of the item always stands for one value of the
-document, and the other way round.  A document is contaminated by an item of
-which consistent windows cover at least ``min_coverage``.
+document.  Along each alignment (document place minus item place) a value of
+the item stands for the document value it meets most often; windows in which
+it meets another are left out.  Two values of the item may be one in the
+document.  A document is contaminated by an item of which the windows that are
+left cover at least ``min_coverage``.
 
 Native: DataFrame functions only.
 """
@@ -121,7 +122,7 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, windows, coverage, slots, same_values): each document and
     benchmark item that it holds; ``same_values`` is false for a question asked
-    again with other values.
+    again with other values (in the windows that count).
 
     Items shorter than ``width`` words are searched by windows of their own
     length.  Windows with fewer than ``min_words`` plain words are found only
@@ -140,7 +141,7 @@ def contaminated(
             continue
         side = F.broadcast(part) if rows <= broadcast_rows else part
         there = F.slice("words", F.col("place") + 1, n)
-        hits = _with_windows(src, n, ["doc_id"], min_words).join(side, "hash").select("doc_id", "item_id", "item_place", "of", "of_templates", "exact", (F.col("place") - F.col("item_place")).alias("along"), _slots(F.col("said"), there).alias("slots"))
+        hits = _with_windows(src, n, ["doc_id"], min_words).join(side, "hash").select("doc_id", "item_id", "item_place", "of", "of_templates", "exact", (F.col("place") - F.col("item_place")).alias("along"), _slots(F.col("said"), there, F.col("item_place")).alias("slots"))
         one = _consistent(keep(hits, "window-hits"))
         found = one if found is None else found.unionByName(one)
     if found is None:
@@ -153,23 +154,42 @@ def contaminated(
     return out.select("doc_id", "item_id", "windows", "coverage", "slots", "same_values")
 
 
-def _slots(said: Column, there: Column) -> Column:
-    """(said, there) of each slot of a window: the item's value and the document's."""
-    return F.filter(F.arrays_zip(said.alias("said"), there.alias("there")), lambda p: p["said"].rlike(f"^{_SLOT}"))
+def _slots(said: Column, there: Column, place: Column) -> Column:
+    """(at, said, there) of each slot of a window: its place in the item, the
+    item's value and the document's."""
+    pairs = F.transform(F.arrays_zip(said.alias("said"), there.alias("there")), lambda p, i: F.struct((place + i).alias("at"), p["said"].alias("said"), p["there"].alias("there")))
+    return F.filter(pairs, lambda p: p["said"].rlike(f"^{_SLOT}"))
+
+
+def _chosen(slots: Column) -> Column:
+    """(said, there, n) of the item values that have one document value more often
+    than any other; between equals the item's own value goes first, and else none."""
+    pairs = F.array_distinct(F.transform(slots, lambda p: F.struct(p["said"].alias("said"), p["there"].alias("there"))))
+    often = lambda q: 2 * F.size(F.filter(slots, lambda p: (p["said"] == q["said"]) & (p["there"] == q["there"])))
+    counted = F.transform(pairs, lambda q: F.struct(q["said"].alias("said"), q["there"].alias("there"), (often(q) + (q["said"] == q["there"]).cast("int")).alias("n")))
+    rival = lambda q, r: (r["said"] == q["said"]) & (r["there"] != q["there"]) & (r["n"] >= q["n"])
+    return _let(counted, lambda c: F.filter(c, lambda q: ~F.exists(c, lambda r: rival(q, r))))
 
 
 def _consistent(hits: DataFrame) -> DataFrame:
-    """(doc_id, item_id, windows, of, templates, of_templates, slots, same_values) over the alignments whose
-    slots are consistent.  What is gathered for an alignment is bounded by the
-    item's length."""
-    line = hits.groupBy("doc_id", "item_id", "along").agg(F.max("of").alias("of"), F.max("of_templates").alias("of_templates"), F.collect_set(F.struct("item_place", "exact")).alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    values = lambda side: F.size(F.array_distinct(F.transform("slots", lambda p: p[side])))
-    # as many different pairs as values on either side: one value for each value
-    good = line.filter((F.size("slots") == values("said")) & (F.size("slots") == values("there")))
+    """(doc_id, item_id, windows, of, templates, of_templates, slots, same_values) over
+    the windows whose slots have their item value's chosen document value on the
+    alignment.  What is gathered for an alignment is bounded by the item's length."""
+    line = hits.groupBy("doc_id", "item_id", "along").agg(F.max("of").alias("of"), F.max("of_templates").alias("of_templates"), F.collect_set(F.struct("item_place", "exact", "slots")).alias("windows"))
+
+    def agreeing(slots: Column) -> Column:
+        different = lambda *side: F.size(F.array_distinct(F.transform(slots, lambda p: F.struct(*[p[x].alias(x) for x in side]))))
+        held = lambda c, p: F.exists(c, lambda q: (q["said"] == p["said"]) & (q["there"] == p["there"]))
+        some = _let(_chosen(slots), lambda c: F.filter("windows", lambda w: F.forall(w["slots"], lambda p: held(c, p))))
+        # mostly each value has one value only
+        return F.when(different("said", "there") == different("said"), F.col("windows")).otherwise(some)
+
+    good = line.withColumn("windows", _let(F.array_distinct(F.flatten("windows.slots")), agreeing)).filter(F.size("windows") > 0)
+    good = good.withColumn("slots", F.array_distinct(F.transform(F.flatten("windows.slots"), lambda p: F.struct(p["said"].alias("said"), p["there"].alias("there")))))
     same = F.forall("slots", lambda p: p["said"] == p["there"])
-    each = good.select("doc_id", "item_id", "of", "of_templates", same.alias("same"), F.size("slots").alias("n"), F.posexplode("places").alias("i", "place"))
+    each = good.select("doc_id", "item_id", "of", "of_templates", same.alias("same"), F.size("slots").alias("n"), F.posexplode("windows").alias("i", "place"))
     return each.groupBy("doc_id", "item_id").agg(
         F.size(F.collect_set("place.item_place")).cast("bigint").alias("windows"), F.max("of").alias("of"),
         F.size(F.collect_set(F.when(~F.col("place.exact"), F.col("place.item_place")))).alias("templates"), F.max("of_templates").alias("of_templates"),
-        F.sum(F.when(F.col("i") == 0, F.col("n")).otherwise(0)).alias("slots"), F.min("same").alias("same_values")
+        F.sum(F.when(F.col("i") == 0, F.col("n")).otherwise(0)).alias("slots"), F.min("same").alias("same_values"),
     )

@@ -44,6 +44,21 @@ def test_items_dense_in_values_are_searched_as_they_stand(spark, rows):
     assert [(r.doc_id, r.item_id, r.windows, r.coverage, r.same_values) for r in got] == [(1, 1, 1, 1.0, True)]
 
 
+PASSAGE = "every autumn the old keeper {} walked slowly along the northern shore and counted the grey seals that were resting there before {} wrote the total into the log that {} had bought in the town"
+FRUIT = "the farmer bought {} apples and {} pears from the small market near the bridge"
+
+
+def test_one_contradicting_value_costs_its_windows_only(spark):
+    docs = docs_of(spark, [(1, PASSAGE.format("Anna", "Eve", "Bob")), (2, PASSAGE.format("Carl", "Dora", "Carl")), (3, FRUIT.format(5, 5)), (4, FRUIT.format(3, 4))])
+    got = decontaminate.contaminated(docs, bench_of(spark, [(1, PASSAGE.format("Anna", "Anna", "Bob")), (2, PASSAGE.format("Anna", "Anna", "Anna")), (3, FRUIT.format(3, 4))])).collect()
+    found = {(r.doc_id, r.item_id): r for r in got}
+    assert {k: r.same_values for k, r in found.items() if k != (1, 2) and k != (2, 1)} == {(1, 1): True, (2, 2): False, (3, 3): False, (4, 3): True}
+    assert 0.25 <= found[1, 1].coverage < 1 and 0.25 <= found[2, 2].coverage < 1 and found[3, 3].coverage == 1
+    # Eve's place is in eight windows
+    n = len(PASSAGE.split()) - 7
+    assert found[1, 1].windows == n - 8 and found[2, 2].windows == n - 8
+
+
 def test_decontamination_of_empty_tables(spark):
     docs, bench = docs_of(spark, [(1, ITEM)]), bench_of(spark, [(1, ITEM)])
     assert decontaminate.contaminated(docs.limit(0), bench).collect() == []
