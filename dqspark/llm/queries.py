@@ -8,6 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import toxicity
 from .common import F, table
 from .decontaminate import contaminated
 from .fingerprint import fingerprint_pairs
@@ -92,6 +93,13 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.fit(toxicity.with_labels(docs.filter(~held), table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -101,7 +109,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (
             op1_decontaminate, op2_token_file, op3_fingerprints, op4_simhash, op5_line_dedup, op6_packing,
-            op7_url_filter, op8_warc, op9_token_counts, op10_language_id, op11_turn_repair, op12_ranked_search, pipeline,
+            op7_url_filter, op8_warc, op9_token_counts, op10_language_id, op11_turn_repair, op12_ranked_search, op13_toxicity, pipeline,
         )}
 
 
