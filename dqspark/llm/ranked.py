@@ -22,12 +22,13 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 
 from .common import F, keep, materialize_counted, only, small_batches, sql_type
 
-BLOCK_POSTINGS = 1_500_000  # a block ends behind the document that reaches this
+BLOCK_POSTINGS = 400_000  # a block ends behind the document that reaches this
 BLOCK_DOCS = 1 << 16
 SLICE_BYTES = 8_000_000
 LOT_BYTES = 32 << 20  # text of the items that are searched for at once
@@ -113,11 +114,11 @@ class Treap:
 
     def opened(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """For each level the maxima of its cells, and each cell's first child."""
-        values, starts = [np.array([self.root], dtype=np.int64)], []
+        values, starts = [np.array([self.root], dtype=np.int32)], []
         for mask, diff in zip(self.masks, self.diffs):
             n = _BITS[mask]
-            starts.append((np.cumsum(n) - n).astype(np.int64))
-            values.append(np.repeat(values[-1], n) - diff)
+            starts.append((np.cumsum(n) - n).astype(np.int32))
+            values.append(np.repeat(values[-1], n) - diff.astype(np.int32))
         return values, starts
 
 
@@ -178,7 +179,8 @@ class Searcher:
         return score[order], col[order]
 
 
-INDEX = "docs long, total long, ids array<{id}>, terms array<binary>, df array<int>, root bigint, masks array<binary>, diffs array<binary>, widths array<int>"
+#: A block's row: terms are bytes in a row with where each ends, so a block is a few long values.
+INDEX = "block long, docs long, total long, ids array<{id}>, terms binary, ends binary, df binary, root bigint, masks array<binary>, diffs array<binary>, widths array<int>"
 
 
 def statistics(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
@@ -223,21 +225,25 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             rank[place] = np.arange(len(ids))
             at, size = np.frombuffer(term, dtype=np.int32), np.array(sizes)
             df = np.bincount(at, minlength=len(vocabulary))
-            words = np.array([*vocabulary, b""], dtype=object)[:-1]
+            words = list(vocabulary)
             by_df = np.argsort(-df, kind="stable")
+            words = [words[i] for i in by_df.tolist()]
             row = np.empty(len(df), dtype=np.int64)
             row[by_df] = np.arange(len(df))
             value = _impacts(np.frombuffer(tf, dtype=np.int64), np.repeat(np.array(lengths), size), n_docs, total)
             t = Treap.build(row[at], np.repeat(rank, size), value)
+            ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int32, count=len(words)), dtype=np.int32)
             one = {
-                "docs": n_docs, "total": total, "ids": [ids[i] for i in place], "terms": words[by_df].tolist(), "df": df[by_df].astype(np.int32), "root": t.root,
+                "block": number, "docs": n_docs, "total": total, "ids": [ids[i] for i in place], "root": t.root,
+                "terms": b"".join(words), "ends": ends.tobytes(), "df": df[by_df].astype(np.int32).tobytes(),
                 "masks": [m.tobytes() for m in t.masks], "diffs": [d.tobytes() for d in t.diffs], "widths": [d.itemsize for d in t.diffs],
             }
-            return pa.RecordBatch.from_pylist([one], schema=pa.schema([(c, kinds[c]) for c in one]))
+            return pa.RecordBatch.from_pylist([one], schema=pa.schema(list(kinds.items())))
 
+        number = TaskContext.get().partitionId() << 32
         for b in small_batches(batches):
             kinds = {
-                "docs": pa.int64(), "total": pa.int64(), "ids": pa.list_(b.schema.field(0).type), "terms": pa.list_(pa.binary()), "df": pa.list_(pa.int32()), "root": pa.int64(),
+                "block": pa.int64(), "docs": pa.int64(), "total": pa.int64(), "ids": pa.list_(b.schema.field(0).type), "terms": pa.binary(), "ends": pa.binary(), "df": pa.binary(), "root": pa.int64(),
                 "masks": pa.list_(pa.binary()), "diffs": pa.list_(pa.binary()), "widths": pa.list_(pa.int32()),
             }
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -252,6 +258,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 if len(term) >= block_postings or len(ids) >= block_docs:
                     yield flush()
                     ids, lengths, sizes, vocabulary, term, tf = [], [], [], {}, array("i"), array("q")
+                    number += 1
         if ids:
             yield flush()
 
@@ -271,6 +278,13 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b.slice(i, 1)
 
 
+def _terms(b: pa.RecordBatch) -> pa.Array:
+    """The terms of one block."""
+    ends = np.frombuffer(b.column("ends")[0].as_py(), dtype=np.int32)
+    offsets = np.concatenate((np.zeros(1, np.int32), ends))
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), b.column("terms")[0].as_buffer()])
+
+
 def document_frequencies(index: DataFrame, terms: list[bytes]) -> dict[bytes, int]:
     """In how many documents each of ``terms`` (as many as a lot of items has) occurs."""
     shared = index.sparkSession.sparkContext.broadcast(terms)
@@ -279,13 +293,13 @@ def document_frequencies(index: DataFrame, terms: list[bytes]) -> dict[bytes, in
         wanted = pa.array(shared.value, pa.binary())
         seen = np.zeros(len(wanted), dtype=np.int64)
         for b in _blocks(batches):
-            at = pc.index_in(b.column(0).flatten(), value_set=wanted)
+            at = pc.index_in(_terms(b), value_set=wanted)
             here = at.is_valid().to_numpy(zero_copy_only=False)
-            np.add.at(seen, at.drop_null().to_numpy(), b.column(1).flatten().to_numpy()[here])
+            seen[at.drop_null().to_numpy()] += np.frombuffer(b.column("df")[0].as_py(), dtype=np.int32)[here]
         found = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(seen[found], pa.int64())], names=["at", "df"])
 
-    found = index.select("terms", "df").mapInArrow(count, "at bigint, df bigint").groupBy("at").agg(F.sum("df").alias("df"))
+    found = index.select("terms", "ends", "df").mapInArrow(count, "at bigint, df bigint").groupBy("at").agg(F.sum("df").alias("df"))
     return {terms[r["at"]]: r["df"] for r in found.collect()}
 
 
@@ -310,7 +324,7 @@ def _found(index: DataFrame, queries, k: int, floors: dict[int, int]) -> DataFra
             ids = b.column("ids").flatten()
             kinds = ids.type
             rows = np.full(len(wanted), -1, dtype=np.int64)
-            at = pc.index_in(b.column("terms").flatten(), value_set=wanted)
+            at = pc.index_in(_terms(b), value_set=wanted)
             here = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
             rows[at.drop_null().to_numpy()] = here
             for item, numbers, weights in items:
@@ -338,7 +352,7 @@ def _found(index: DataFrame, queries, k: int, floors: dict[int, int]) -> DataFra
         ]
         yield pa.RecordBatch.from_arrays(cols, names=["item", "doc_id", "score"])
 
-    cols = ["ids", "terms", "root", "masks", "diffs", "widths"]
+    cols = ["ids", "terms", "ends", "root", "masks", "diffs", "widths"]
     return index.select(*cols).mapInArrow(search, f"item bigint, doc_id {kind}, score bigint")
 
 
@@ -365,7 +379,7 @@ def search_index(index: DataFrame, items: DataFrame, k: int = 20, id_col: str =
     named, n = materialize_counted(src.withColumn("item", F.monotonically_increasing_id()), "ranked-items")
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     lots = max(1, math.ceil(size / lot_bytes))
-    first = index.select("docs").first()
+    first = index.select("block", "docs").first()
     out = None
     for lot in range(lots if n and first is not None else 0):
         mine = named.filter(F.pmod(F.xxhash64("item"), F.lit(lots)) == lot).select("item", "text").collect()
@@ -380,7 +394,7 @@ def search_index(index: DataFrame, items: DataFrame, k: int = 20, id_col: str =
             if held:
                 queries.append((item, np.array([number[t] for t in held]), np.array([w[t] * c[t] for t in held], dtype=np.int64)))
         sought = (terms, queries)
-        seed = _found(index.limit(1), sought, k, {}).groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).filter(F.col("n") == k)
+        seed = _found(index.filter(F.col("block") == first["block"]), sought, k, {}).groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).filter(F.col("n") == k)
         floors = {r["item"]: r["least"] for r in seed.collect()}
         got = _ranked(_found(index, sought, k, floors), k)
         out = got if out is None else keep(out, "ranked-lots").unionByName(got)
