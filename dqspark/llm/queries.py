@@ -119,25 +119,27 @@ WITH lines AS (
   SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS place, unnest(string_split(text, chr(10))) AS line FROM documents
 ),
 words AS (
-  SELECT doc_id, place, line, list_transform(
-           list_filter(string_split(regexp_replace(line, '[ \t\r\f\v]+', ' ', 'g'), ' '), lambda x: x <> ''),
-           lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS w
-  FROM lines
+  SELECT doc_id, place, list_filter(string_split(regexp_replace(line, '[ \t\r\f\v]+', ' ', 'g'), ' '), lambda x: x <> '') AS raw FROM lines
+),
+masked AS (
+  SELECT *, list_transform(raw, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS w FROM words
 ),
 sized AS (
-  SELECT *, len(w) AS n, CAST(ceil((len(w) - 3) / 2) AS BIGINT) AS half, array_to_string(w, ' ') AS m FROM words
+  SELECT *, len(w) AS n, CAST(ceil((len(w) - 3) / 2) AS BIGINT) AS half, len(list_filter(w, lambda x: x <> '<*>')) AS plain FROM masked
 ),
 parsed AS (
   SELECT doc_id, place, unnest(CASE
-    WHEN n < 4 OR n - (length(m) - length(replace(m, '<*>', ''))) / 3 < 2 THEN []
-    WHEN n - half >= 6 THEN ['own ' || m,
-      'second ' || n || ' ' || array_to_string(w[1:half + 3], ' '),
-      'first ' || n || ' ' || array_to_string(w[1:3], ' ') || ' | ' || array_to_string(w[half + 4:n], ' ')]
-    ELSE ['own ' || m] END) AS template
+    WHEN n = 0 THEN []
+    WHEN plain < 2 THEN ['whole exact ' || array_to_string(raw, ' ')]
+    WHEN n >= 4 AND n - half >= 6 THEN ['whole own ' || array_to_string(w, ' '),
+      'part second ' || n || ' ' || array_to_string(w[1:half + 3], ' '),
+      'part first ' || n || ' ' || array_to_string(w[1:3], ' ') || ' | ' || array_to_string(w[half + 4:n], ' ')]
+    ELSE ['whole own ' || array_to_string(w, ' ')] END) AS template
   FROM sized
 ),
 known AS (
-  SELECT template, min(doc_id) AS first_doc FROM parsed GROUP BY template HAVING count(DISTINCT doc_id) >= 3
+  SELECT template, min(doc_id) AS first_doc FROM parsed GROUP BY template
+  HAVING count(DISTINCT doc_id) >= CASE WHEN starts_with(template, 'whole ') THEN 2 ELSE 3 END
 ),
 gone AS (
   SELECT DISTINCT p.doc_id, p.place FROM parsed p JOIN known k USING (template) WHERE p.doc_id > k.first_doc

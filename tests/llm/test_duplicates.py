@@ -8,8 +8,10 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
+from dqspark.llm.common import table
 from dqspark.llm import fingerprint, linededup, simhash, warc
 
 ODD = [(1, "a b c d e"), (2, None), (3, ""), (4, " \n\t"), (5, "a B c d e"), (5, "a B c d e"), (None, "a b c d e"), (8, "one"), (9, "é ü ß x y z " * 500)]
@@ -144,15 +146,18 @@ def test_simhash_edges(spark):
 # -- line dedup
 
 
-def brute_lines(rows, min_docs=3):
+def brute_lines(rows, min_docs=3, own_docs=None, short_lines=False):
     def templates(line):
-        w = ["<*>" if re.search("[0-9]", x) else x for x in re.split("[ \t\r\f\x0b]+", line) if x]
+        raw = [x for x in re.split("[ \t\r\f\x0b]+", line) if x]
+        w = ["<*>" if re.search("[0-9]", x) else x for x in raw]
         n = len(w)
-        if n < 4 or sum(x != "<*>" for x in w) < 2:
+        if not n or (not short_lines and (n < 4 or sum(x != "<*>" for x in w) < 2)):
             return set()
+        if sum(x != "<*>" for x in w) < 2:
+            return {("exact", *raw)}
         half = -(-(n - 3) // 2)
         out = {("own", *w)}
-        if n - half >= 6:
+        if n >= 4 and n - half >= 6:
             out |= {("second", n, *w[: half + 3]), ("first", n, *w[:3], *w[half + 3 :])}
         return out
 
@@ -160,7 +165,7 @@ def brute_lines(rows, min_docs=3):
     for d, t in rows:
         for x in set().union(*(templates(line) for line in t.split("\n"))) if t is not None else ():
             seen[x].append(d)
-    first = {x: min(e for e in d if e is not None) for x, d in seen.items() if len(d) >= min_docs and any(e is not None for e in d)}
+    first = {x: min(e for e in d if e is not None) for x, d in seen.items() if len(d) >= (own_docs or min_docs if x[0] in ("own", "exact") else min_docs) and any(e is not None for e in d)}
     out = []
     for d, t in rows:
         lines = [] if t is None else t.split("\n")
@@ -193,6 +198,18 @@ def test_drop_lines(spark, limits):
     assert texts[1].startswith("Order 17") and texts[3] == "alpha\nalpha\nalpha" and texts[6] == "\n1 2 3 4 5\n"
 
 
+@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 0, "broadcast_bytes": 0}])
+def test_drop_lines_as_registered(spark, limits):
+    """The rule that op5 and the pipeline run, against brute force."""
+    rule = {"short_lines": True, "own_docs": linededup.OWN_DOCS}
+    rows = LINES + [(i + 100, t) for i, t in SHORT] + [(i + 200, t) for i, t in TWICE]
+    got = linededup.drop_lines(frame(spark, rows), **rule, **limits).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(brute_lines(rows, **rule), key=repr)
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    want = brute_lines([(r.doc_id, r.text) for r in docs.collect()], **rule)
+    assert sorted(tuple(r) for r in linededup.drop_lines(docs, **rule, **limits).collect()) == sorted(want)
+
+
 def test_drop_lines_whole_rows(spark):
     docs = frame(spark, LINES)
     got = linededup.drop_lines(docs, whole_rows=True)
@@ -248,6 +265,33 @@ def test_archive(spark):
     assert warc.archive_and_read(pages.limit(0)).collect() == []
 
 
+def test_url_that_looks_like_a_header(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a/?WARC-Type: revisit", "body"), (None, "u", "x"), (None, "v", "x")], "page_id long, url string, html string")
+    warc.write_archive(pages, f"{tmp_path}/warc", written_at="2024-05-06 07:08:09")
+    records = {r.rec_id: bytes(r.record).decode() for r in warc.read_records(spark, f"{tmp_path}/warc").filter("rec_id IS NOT NULL").collect()}
+    assert records[1].endswith("\r\n\r\nbody\r\n\r\n") and "WARC-Date: 2024-05-06T07:08:09Z\r\n" in records[1]
+    ids = [re.search("WARC-Record-ID: (.*?)\r", bytes(r.record).decode())[1] for r in warc.read_records(spark, f"{tmp_path}/warc").collect()]
+    assert len(set(ids)) == 3
+
+
+def test_lost_payload_stops_the_reader(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "a", "one"), (2, "b", "two")], "page_id long, url string, html string")
+    folder = f"{tmp_path}/warc"
+    warc.write_archive(pages, folder)
+    kept = spark.read.parquet(f"{folder}/payloads").filter("payload = cast('one' AS binary)").collect()
+    spark.createDataFrame(kept, "sha256 binary, payload binary").write.mode("overwrite").parquet(f"{folder}/payloads")
+    for read in (warc.read_records, warc.read_archive):
+        with pytest.raises(Exception, match="no payload"):
+            read(spark, folder).collect()
+
+
+def test_hot_payload_is_spread(spark, tmp_path):
+    """Ranking rows of one id deals them by id as well, so a payload's rows are many keys."""
+    pages = spark.range(20_000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.lit("").alias("html"))
+    got = warc.archive_and_read(pages).groupBy("record_type", "refers_to").count().collect()
+    assert {(r.record_type, r.refers_to, r["count"]) for r in got} == {("response", None, 1), ("revisit", 19_999, 19_999)}
+
+
 def test_records_come_back_whole(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://a/", "body"), (2, "http://b/", "body")], "page_id long, url string, html string")
     folder = f"{tmp_path}/warc"
