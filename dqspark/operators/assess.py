@@ -318,9 +318,10 @@ ISSUE_TIME = "detected_at"
 ISSUE_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def extract_issues(assessed: DataFrame, rules: Rules, ingest_col: str | None = None) -> DataFrame:
+def extract_issues(assessed: DataFrame, rules: Rules, ingest_col: str | None = None, also: tuple[str, ...] = ()) -> DataFrame:
     """Rows flagged ``has_issues = true`` (NULL is not an issue), projected
-    to subject, entity, measures, scores, flags and ``detected_at``."""
+    to subject, entity, measures, scores, flags and ``detected_at``; ``also``: columns
+    that stay beside them, such as a partition's."""
     measures = []
     for name in list(rules.required) + list(rules.range_fields):
         if name not in (rules.subject, rules.entity) and name not in measures:
@@ -335,6 +336,7 @@ def extract_issues(assessed: DataFrame, rules: Rules, ingest_col: str | None = N
         "completeness_score",
         *flags,
         F.col(ingest_col or rules.time).alias(ISSUE_TIME),
+        *also,
     )
 
 
@@ -350,9 +352,11 @@ def with_severity(issues: DataFrame, mapping=scoring.DEFAULT_SEVERITY) -> DataFr
     return issues.withColumn("severity", scoring.severity(F.col("quality_score"), mapping))
 
 
-def issue_json(issues: DataFrame) -> DataFrame:
-    """S7 payload: one JSON document per issue in column ``value`` (NULL fields omitted)."""
-    return issues.select(F.to_json(F.struct(*issues.columns), {"timestampFormat": ISSUE_TS}).alias("value"))
+def issue_json(issues: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """S7 payload: one JSON document per issue in column ``value`` (NULL fields omitted),
+    beside the columns ``also``, which are not part of it."""
+    document = F.struct(*[c for c in issues.columns if c not in also])
+    return issues.select(F.to_json(document, {"timestampFormat": ISSUE_TS}).alias("value"), *also)
 
 
 __all__ = [

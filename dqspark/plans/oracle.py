@@ -418,7 +418,20 @@ SELECT entity, '{{' || concat_ws(',',
                                 WHEN trend_direction = 'improving' AND quality_variance < 5 THEN '0.2'
                                 ELSE '0.4' END) || '}}', 'trend'
 FROM lt"""
-    q["stream_restart"] = q["stream_assess"]
+    q["stream_restart"] = q["stream_late"] = q["stream_assess"]
+    q["stream_late_issues"] = f"""WITH {SCORED}
+SELECT entity, quality_score, count(*) AS issues FROM scored WHERE has_issues GROUP BY entity, quality_score"""
+    # windows are days: one is closed when the greatest time so far, less the watermark, has passed its end
+    q["stream_progress"] = """WITH e AS (
+  SELECT *, epoch_us(CAST(ts AS TIMESTAMP)) AS us FROM events
+),
+cut AS (SELECT us AS mid FROM (SELECT us, row_number() OVER (ORDER BY us) AS i, count(*) OVER () AS n FROM e WHERE us IS NOT NULL) WHERE i = CAST(ceil(n * 0.5) AS BIGINT)),
+dealt AS (SELECT CASE WHEN event_id % 10 = 0 THEN 2 WHEN us < mid THEN 0 ELSE 1 END AS batch_id, us FROM e, cut),
+batches AS (SELECT batch_id, count(*) AS records, count(*) FILTER (WHERE us IS NULL) AS timeless_records, max(us) AS newest FROM dealt GROUP BY batch_id),
+seen AS (SELECT *, max(newest) OVER (ORDER BY batch_id) AS max_us, coalesce(max(newest) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 600000000, -4000000000000000000) AS closed FROM batches)
+SELECT s.batch_id, s.records, (SELECT count(*) FROM dealt d WHERE d.batch_id = s.batch_id AND d.us - d.us % 86400000000 + 86400000000 <= s.closed) AS late_records,
+       s.timeless_records, strftime(make_timestamp(s.max_us), '%Y-%m-%d %H:%M:%S.%f') AS max_time
+FROM seen s"""
     return q
 
 

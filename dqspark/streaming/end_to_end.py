@@ -15,7 +15,8 @@ from ..plans.queries import ASOF_DATE, RECENT_LIMIT, TREND_KEYS, daily_batches
 from ..session import ensure_conf, scratch_path
 from ..sources.lake import read_lake
 from ..sources.tables import READINGS_RULES as R, event_readings, readings_from_events, table
-from .pipeline import StreamSinks, batch_writer, start_assessment, write_open_rows
+from .pipeline import StreamSinks, batch_writer, finish, start_assessment
+from .staged import read_progress
 
 
 def written(spark: SparkSession, sf_dir: str) -> StreamSinks:
@@ -58,27 +59,66 @@ def q_status_breakdown(spark, sf_dir):
     return present(status_breakdown(daily_batches(assess(event_readings(spark, sf_dir), R))))
 
 
-def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two bounded runs on one checkpoint, the later half of the files arriving in
-    between: windows that were open at the stop are assessed over all their rows."""
+def _runs(spark: SparkSession, sf_dir: str, cuts: int, arrival) -> str:
+    """Bounded runs on one checkpoint, the events of each arrival (0 to ``cuts`` - 1)
+    coming between them; the folder that they wrote to."""
     ensure_conf(spark)
-    root = scratch_path(spark, "restart")
+    root = scratch_path(spark, "runs")
     events = table(spark, sf_dir, "events")
-    cut = F.lit(events.select(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).first()[0])
-    sinks = StreamSinks(lake=f"{root}/lake")
-    early = F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")) < cut, F.lit(False))
-    for part in (early, ~early):
-        events.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
-        records = readings_from_events(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in"))
-        q = start_assessment(records, R, sinks, f"{root}/checkpoint", trigger={"availableNow": True}, state_partitions=spark.sparkContext.defaultParallelism)
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
-        write_open_rows(spark, R, sinks, f"{root}/checkpoint")
-    lake = spark.read.parquet(sinks.lake)
+    sinks = StreamSinks(lake=f"{root}/lake", issues=f"{root}/issues", summary=f"{root}/summary")
+    for k in range(cuts):
+        events.filter(arrival(events) == k).write.mode("append").parquet(f"{root}/in")
+        records = readings_from_events(spark.readStream.schema(events.schema).parquet(f"{root}/in"))
+        finish(start_assessment(records, R, sinks, f"{root}/checkpoint", trigger={"availableNow": True}), R, sinks, f"{root}/checkpoint")
+    return root
+
+
+def _halves(events: DataFrame):
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    cut = events.select(F.percentile_approx(micros, 0.5)).first()[0]
+    return F.when(micros < F.lit(cut), 0).otherwise(1)
+
+
+def _assessed(spark: SparkSession, root: str) -> DataFrame:
+    lake = spark.read.parquet(f"{root}/lake")
     return present(lake.select("event_id", "entity", "m1_zscore", "m1_anomaly", "m2_zscore", "m2_anomaly", "has_issues", "quality_score"))
 
 
+def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two bounded runs on one checkpoint, the later half of the files arriving in
+    between: windows that were open at the stop are assessed over all their rows."""
+    return _assessed(spark, _runs(spark, sf_dir, 2, _halves))
+
+
+#: Every so many events arrive when all others have, however old they are.
+LATE_EVERY = 10
+
+
+def _late(events: DataFrame):
+    return F.when(F.col("event_id") % LATE_EVERY == 0, 2).otherwise(_halves(events))
+
+
+def q_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three bounded runs; the last brings events of every window, all but the last of
+    them long closed: each is assessed again over all its rows."""
+    return _assessed(spark, _runs(spark, sf_dir, 3, _late))
+
+
+def q_stream_late_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The issue documents that are left after those runs, counted by score."""
+    root = _runs(spark, sf_dir, 3, _late)
+    docs = spark.read.schema("value string").json(f"{root}/issues").select(F.from_json("value", "entity string, quality_score int").alias("d"))
+    return docs.groupBy("d.entity", "d.quality_score").agg(F.count(F.lit(1)).alias("issues"))
+
+
+def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream says of its own batches after those runs: records, how many were
+    late or had no time, and the greatest time so far (T5, L10)."""
+    root = _runs(spark, sf_dir, 3, _late)
+    done = read_progress(spark, f"{root}/checkpoint")
+    return present(done.select("batch_id", "records", "late_records", "timeless_records", F.timestamp_micros("max_time").alias("max_time")))
+
+
 QUERIES = {
     "lake_daily_asof": q_lake_daily_asof,
     "monitor_latest": q_monitor_latest,
@@ -86,4 +126,7 @@ QUERIES = {
     "monitor_issues": q_monitor_issues,
     "status_breakdown": q_status_breakdown,
     "stream_restart": q_stream_restart,
+    "stream_late": q_stream_late,
+    "stream_late_issues": q_stream_late_issues,
+    "stream_progress": q_stream_progress,
 }

@@ -1,6 +1,9 @@
 """Streaming assessment pipeline.
 
-One stateful query does the windowed anomaly join once; every micro-batch is
+By default windows are staged (``staged.py``): a micro-batch only appends its
+records to a landing table, and windows that the watermark has passed are
+assessed by the batch plan and written to all sinks.  With ``staged=False`` one
+stateful query does the windowed anomaly join; then every micro-batch is
 persisted and fanned out to the sinks inside ``foreachBatch``:
 
 * lake      – assessed rows, partitioned by ``date`` and ``batch_id``, written
@@ -10,8 +13,8 @@ persisted and fanned out to the sinks inside ``foreachBatch``:
 * summary   – per-entity and total counts / mean score, per batch_id (S9);
 * console   – optional debug print of the issues (S8).
 
-Keeping all sinks in one query means the window state is held once, not once
-per sink.
+Keeping all sinks in one query means the source is read, and windows are held,
+once and not once per sink.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 from ..operators import assess, batch_summary, extract_issues, issue_json, row_issues, with_severity
 from ..rules import Rules
 from ..sources.lake import with_date
+from .staged import OPEN, StagedWindows
 
 
 @dataclass
@@ -89,17 +93,28 @@ def start_assessment(
     query_name: str | None = None,
     state_partitions: int | None = None,
     stream_salts: int | None = None,
+    staged: bool = True,
+    late_for: str | None = None,
 ):
     """Assess a streaming DataFrame and start the single fan-out query.
 
     ``trigger`` defaults to a 1-minute processing-time trigger; use
     ``{"availableNow": True}`` for a bounded run over what has arrived.
-    The state layout is pinned by the checkpoint to the shuffle partition
+    Staged windows keep no state; ``late_for`` is how long they keep closed
+    windows' records.  What follows is for ``staged=False``: the state layout is pinned by the checkpoint to the shuffle partition
     count at the first start: ``state_partitions`` sets it for this query
     only (default: the session's ``spark.sql.shuffle.partitions``).  Size it
     to the state, not to the batch jobs of the same session.
     """
     spark = records.sparkSession
+    if staged and rules.anomaly:
+        windows = StagedWindows(spark, records.schema, rules, sinks, checkpoint, ingest_col, late_for)
+        w = records.writeStream.foreachBatch(windows).option("checkpointLocation", checkpoint)
+        if query_name:
+            w = w.queryName(query_name)
+        q = w.trigger(**(trigger or {"processingTime": "1 minute"})).start()
+        _STAGED[str(q.runId)] = windows
+        return q
     drop_open_rows(spark, sinks)
     assessed = assess(records, rules, **({"stream_salts": stream_salts} if stream_salts else {}))
     w = assessed.writeStream.foreachBatch(batch_writer(rules, sinks, ingest_col)).option(
@@ -119,6 +134,23 @@ def start_assessment(
         spark.conf.set(key, prev)
 
 
+#: The callback of each staged query of this process, by its run.
+_STAGED: dict[str, StagedWindows] = {}
+
+
+def finish(q, rules: Rules, sinks: StreamSinks, checkpoint: str, ingest_col: str | None = None) -> None:
+    """Wait for a bounded run, then assess what is left in open windows as it stands.
+    A run that failed raises."""
+    q.awaitTermination()
+    windows = _STAGED.pop(str(q.runId), None)
+    if q.exception() is not None:
+        raise RuntimeError(f"assessment stream failed: {q.exception()}")
+    if windows is None:
+        write_open_rows(SparkSession.getActiveSession(), rules, sinks, checkpoint, ingest_col)
+    else:
+        windows.assess_open()
+
+
 def issues_stream_writer(assessed: DataFrame, rules: Rules, checkpoint: str, fmt: str = "console", options: dict | None = None):
     """S7/S8 as their own streaming sink (not started): JSON issue documents to
     a broker topic (``fmt='kafka'``), a file sink, or the console."""
@@ -142,10 +174,6 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> bool:
     return spark.streams.awaitAnyTermination(timeout)
 
 
-#: ``batch_id`` of rows whose window was still open when a bounded run ended.
-OPEN = -1
-
-
 def open_rows(spark: SparkSession, checkpoint: str, rules: Rules) -> DataFrame | None:
     """The records that wait in the join's state for their window to close, read
     from a stopped query's checkpoint; None if the query keeps no such state."""
@@ -198,35 +226,49 @@ def run_stream(
     wait: bool = True,
     state_partitions: int | None = None,
     stream_salts: int | None = None,
+    staged: bool = True,
+    late_for: str | None = None,
 ):
-    """The streaming job.  A bounded run (``availableNow``) that is waited for
-    ends by writing the records of still open windows (``write_open_rows``).
-    Raw ``value`` messages (a broker topic via
-    ``topic_source`` or any other stream) -> decode -> assess -> sinks.
-
-    Must run before any other streaming query of the session when
-    ``rocksdb_state`` is set: the state store provider is fixed per query
-    at its first start (RocksDB keeps large window state off the JVM heap).
+    """The streaming job: raw ``value`` messages (a broker topic via ``topic_source`` or
+    any other stream) -> decode -> assess -> sinks.  A bounded run
+    (``availableNow``) that is waited for ends with the windows that are still
+    open (``finish``); one that isn't bounded waits until any of its queries ends
+    (``await_any``), and stops the others.
+
+    Without ``staged``, RocksDB keeps large window state off the JVM heap
+    (``rocksdb_state``): the provider is set for the start of this query only.
     """
     from ..sources.decode import decode_records
 
-    if rocksdb_state and not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     records = decode_records(raw)
     ingest = "ingestion_time"
     extra = None
     if sinks.immediate:
         extra = immediate_issues_writer(records, rules, sinks, f"{checkpoint}-immediate").trigger(**(trigger or {"processingTime": "10 seconds"})).start()
-    q = start_assessment(
-        records, rules, sinks, checkpoint, trigger, ingest_col=ingest,
-        query_name="dq-assessment", state_partitions=state_partitions, stream_salts=stream_salts,
-    )
-    if wait:
-        for one in (q, extra):
-            if one is not None:
-                one.awaitTermination()
-                if one.exception() is not None:
-                    raise RuntimeError(f"assessment stream failed: {one.exception()}")
-        if (trigger or {}).get("availableNow"):
-            write_open_rows(spark, rules, sinks, checkpoint, ingest)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    own = None if staged or not rocksdb_state or spark.conf.get(provider, None) else provider
+    if own:
+        spark.conf.set(own, ROCKSDB_PROVIDER)
+    try:  # the query keeps a snapshot of the conf taken at its start
+        q = start_assessment(
+            records, rules, sinks, checkpoint, trigger, ingest_col=ingest, query_name="dq-assessment",
+            state_partitions=state_partitions, stream_salts=stream_salts, staged=staged, late_for=late_for,
+        )
+    finally:
+        if own:
+            spark.conf.unset(own)
+    if wait and (trigger or {}).get("availableNow"):
+        finish(q, rules, sinks, checkpoint, ingest)
+        if extra is not None:
+            extra.awaitTermination()
+            if extra.exception() is not None:
+                raise RuntimeError(f"issue stream failed: {extra.exception()}")
+    elif wait:
+        running = [x for x in (q, extra) if x is not None]
+        while all(x.isActive for x in running):
+            await_any(spark, 60)
+        for x in running:
+            x.stop()
+            if x.exception() is not None:
+                raise RuntimeError(f"stream failed: {x.exception()}")
     return q

@@ -10,21 +10,21 @@ from ..session import ensure_conf, scratch_path
 from ..sources.tables import READINGS_RULES as R, readings_from_events, table
 from ..plans.present import present
 from ..operators import row_issues
-from .pipeline import StreamSinks, immediate_issues_writer, start_assessment, write_open_rows
+from .pipeline import StreamSinks, finish, immediate_issues_writer, start_assessment
+
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table as a stream; it may be one file or a folder of part files.  A bounded
     run reads all of it in one batch: part files are in no order of time, and
     what a batch brings behind the watermark of earlier ones would be late."""
     schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
-
-
-def _cores(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect: no SparkContext
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a folder is watched for its files; a single file is picked from its parent by name
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/events.parquet")
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    reader = spark.readStream.schema(schema)
+    if fs.getFileStatus(at).isDirectory():
+        return reader.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def run_bounded(spark: SparkSession, sf_dir: str) -> str:
@@ -38,14 +38,8 @@ def run_bounded(spark: SparkSession, sf_dir: str) -> str:
         sinks,
         checkpoint=f"{root}/checkpoint",
         trigger={"availableNow": True},
-        # state sized to the cluster's cores rather than to whatever the
-        # session uses for large batch shuffles
-        state_partitions=_cores(spark),
     )
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    write_open_rows(spark, R, sinks, f"{root}/checkpoint")
+    finish(q, R, sinks, f"{root}/checkpoint")
     return root
 
 

@@ -6,6 +6,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from dqspark import Rules, vitals_rules
@@ -135,19 +136,21 @@ def test_run_stream_with_rocksdb_state(spark):
     sinks = StreamSinks(lake=f"{root}/lake", summary=f"{root}/summary")
     q = run_stream(
         spark, text_stream(spark, f"{root}/in"), EVENT_RULES, sinks, f"{root}/ckpt",
-        trigger={"availableNow": True}, wait=False,
+        trigger={"availableNow": True}, wait=False, staged=False,
     )
     q.awaitTermination()
     assert q.exception() is None
     lake = spark.read.parquet(f"{root}/lake")
     assert lake.count() > 150 and "ingestion_time" in lake.columns
-    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    assert any("rocksdb" in k.lower() for p in q.recentProgress for o in p["stateOperators"] for k in o["customMetrics"])
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) is None  # the caller's session is as it was
 
 
-def test_late_records_are_kept_without_their_own_statistics(spark):
-    """A record behind the watermark is not lost: the window aggregate drops
-    it, the left join still emits it, assessed against whatever statistics
-    its window has (computed without it) or none (z = 0)."""
+@pytest.mark.parametrize("staged", [True, False])
+def test_late_records_are_kept(spark, staged):
+    """A record behind the watermark is not lost.  Staged: its window is assessed again
+    with it.  By state: the left join still emits it, assessed against whatever
+    statistics its window has."""
     root = tempfile.mkdtemp(prefix="dq-late-")
     os.makedirs(f"{root}/in")
     base = dt.datetime(2024, 5, 1, 8, 0, 0)
@@ -159,18 +162,19 @@ def test_late_records_are_kept_without_their_own_statistics(spark):
     with open(f"{root}/in/a.json", "w") as fh:  # 0 .. 120 minutes
         fh.write("\n".join(rec(f"on_time_{m}", m) for m in range(0, 121, 2)) + "\n")
     with open(f"{root}/in/b.json", "w") as fh:  # arrives later: one record 100 minutes behind
-        fh.write(rec("late", 20) + "\n" + rec("fresh", 130) + "\n")
+        fh.write(rec("late", 20).replace("40", "43") + "\n" + rec("fresh", 130) + "\n")
     raw = text_stream(spark, f"{root}/in", max_files_per_trigger=1)
     q = start_assessment(decode_records(raw, ingest_col=None), EVENT_RULES, StreamSinks(lake=f"{root}/lake"),
-                         f"{root}/ckpt", trigger={"availableNow": True})
+                         f"{root}/ckpt", trigger={"availableNow": True}, staged=staged)
     q.awaitTermination()
     lake = spark.read.parquet(f"{root}/lake")
     ids = {r["patient_id"] for r in lake.select("patient_id").collect()}
     assert "late" in ids and "on_time_20" in ids and "on_time_100" in ids
     late = lake.filter("patient_id = 'late'").first()
     assert late["completeness_score"] == 4 and late["age_valid"] is True and late["quality_score"] == 100
-    # its window (20-25 min) holds on_time_20 and on_time_22 only: the late row was not aggregated
-    assert late["age_zscore"] == 0.0
+    # its window (20-25 min) holds on_time_20, 22 and 24, all of age 40, and the late one of 43
+    if staged:
+        assert (late["age_zscore"], lake.filter("patient_id = 'on_time_22'").first()["age_mean"]) == (1.5, 40.75)
 
 
 def test_issues_stream_writer(spark):
