@@ -16,8 +16,11 @@ the data - into one task.  Instead:
    centred on the group mean (a growing frame, O(1) per row) and
    ``lag(..., N)`` give the sums over exactly the last N rows; only each
    group's own rows are kept;
-5. the statistics join the full rows by (entity, time, tie-break), which is
-   unique, so the full rows are shuffled once, evenly, and never copied.
+5. rows that are equal in (entity, time, tie-break) are peers and share the
+   statistics of the last of them, whose window holds them all, so each key has
+   one row of statistics;
+6. these join the full rows by (entity, time, tie-break), so the full rows are
+   shuffled once, evenly, and never copied or multiplied.
 
 Rows with a NULL entity get no statistics (z = 0), as in the time-window check.
 """
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 from ..functions.checks import zscore
 from ..rules import Rules
 from ..session import materialize
+from .assess import stat_columns
 
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
@@ -46,7 +50,9 @@ def count_window_anomalies(
     """Add ``<p>_mean``, ``<p>_stddev``, ``<p>_zscore``, ``<p>_anomaly`` for each
     anomaly measure over the last ``window_rows`` rows (this row included) of
     the same entity, in order (``rules.time``, *order_cols*).  ``order_cols``
-    must make the order unique (e.g. an event id)."""
+    should make the order unique (e.g. an event id).  Where they don't, as when
+    rows are repeated, equal rows count one by one but share the statistics of
+    the last; among them the order is that of the measures."""
     n = int(window_rows or rules.row_window)
     ent, t = rules.entity, rules.time
     cols = df.columns
@@ -57,7 +63,7 @@ def count_window_anomalies(
     narrow = keyed.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], *[F.col(m).cast("double").alias(f"_v_{m}") for m in rules.anomaly])
     keys = [f"_k{i}" for i in range(len(key))]
     numbered = materialize(
-        narrow.orderBy(*keys).withColumn("_mid", F.monotonically_increasing_id()),
+        narrow.orderBy(*keys, *[f"_v_{m}" for m in rules.anomaly]).withColumn("_mid", F.monotonically_increasing_id()),
         "rowwin-numbered",
     )
     pid = F.shiftright(F.col("_mid"), _POS_BITS)
@@ -109,7 +115,9 @@ def count_window_anomalies(
         mean = F.when(cnt > 0, F.col(f"_m_{m}") + s / cnt)
         var = F.when(cnt > 1, F.greatest((q - s * s / cnt) / (cnt - 1), F.lit(0.0)))
         stats += [mean.alias(f"{p}_mean"), F.sqrt(var).alias(f"{p}_stddev")]
-    found = acc.select(*keys, *stats)
+    names = stat_columns(rules)
+    last = F.max_by(F.struct(*names), F.col("_g")).alias("_last")
+    found = acc.select(*keys, "_g", *stats).groupBy(*keys).agg(last).select(*keys, "_last.*")
     same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(key, keys)]
     keyed_out = keyed.join(found, reduce(and_, same)).select(*cols, *[c for c in found.columns if c not in keys])
 

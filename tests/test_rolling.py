@@ -74,3 +74,24 @@ def test_count_window_matches_brute_force(spark, n):
             else:
                 assert a == pytest.approx(b, rel=1e-9, abs=1e-9), rid
         assert r["x_anomaly"] == (None if z is None else z > 1.5)
+
+
+@pytest.mark.parametrize("n", [1, 4, 50])
+def test_repeated_rows_stay_as_many(spark, n):
+    """Rows out are rows in, whatever repeats; equal rows share the statistics of the last of them."""
+    rng = np.random.default_rng(n)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(int(i % 20), f"e{i % 2}" if i % 9 else None, float(rng.integers(0, 5)), base + dt.timedelta(minutes=int(i % 20))) for i in range(50)]
+    rows = rows * 3 + rows[:7]
+    df = spark.createDataFrame(rows, "id long, entity string, x double, ts timestamp")
+    got = count_window_anomalies(df, RULES, ("id",), window_rows=n).collect()
+    assert sorted((r.id, r.entity, r.x, r.ts) for r in got if r.entity) == sorted(r for r in rows if r[1])
+    assert len(got) == len(rows)
+    ordered = {e: sorted([r for r in rows if r[1] == e], key=lambda r: (r[3], r[0], r[2])) for e in ("e0", "e1")}
+    for r in got:
+        if r.entity:
+            own = ordered[r.entity]
+            last = max(i for i, o in enumerate(own) if (o[3], o[0]) == (r.ts, r.id))
+            w = np.array([o[2] for o in own[max(0, last - n + 1) : last + 1]])
+            assert np.isclose(r.x_mean, w.mean())
+            assert r.x_stddev is None if len(w) == 1 else np.isclose(r.x_stddev, w.std(ddof=1), atol=1e-7)
