@@ -17,22 +17,21 @@ from ..rules import Rules
 DATE = "date"
 
 
-def date_column(df: DataFrame, rules: Rules):
-    """Use the lake's ``date`` partition column when present (pruning), else
-    derive it from ``rules.time``."""
-    if DATE in df.columns:
-        return F.col(DATE)
-    return F.to_date(F.col(rules.time)).alias(DATE)
+def date_column(rules: Rules, date_col: str | None = None):
+    """The day of a record: that of ``rules.time``, or a column that the caller names
+    because it holds it (the lake's partition column, which prunes).  A column
+    that happens to be called ``date`` is not taken for it."""
+    return F.col(date_col).alias(DATE) if date_col else F.to_date(F.col(rules.time)).alias(DATE)
 
 
-def daily_metrics(assessed: DataFrame, rules: Rules) -> DataFrame:
-    """A2 + P8 + P9: one row per (entity, date).
+def daily_metrics(assessed: DataFrame, rules: Rules, date_col: str | None = None) -> DataFrame:
+    """A2 + P8 + P9: one row per (entity, date); ``date_col``: see ``date_column``.
 
     ``records_with_issues`` counts ``has_issues = true`` and is 0 (not NULL)
     on clean days.  ``quality_variance`` is the sample standard deviation of
     the score (NULL on one-row days), kept under its historical name.
     """
-    d = date_column(assessed, rules)
+    d = date_column(rules, date_col)
     return (
         assessed.groupBy(F.col(rules.entity), d)
         .agg(

@@ -50,20 +50,18 @@ def predict_risk(trend_df: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
-def daily_report(assessed: DataFrame, rules: Rules, run_date=None):
+def daily_report(assessed: DataFrame, rules: Rules, run_date=None, date_col: str | None = None):
     """Metrics and trends *as of* ``run_date``: history up to and
     including that date feeds the 7-row frames, only that date is emitted.
-    ``run_date=None`` keeps every date.  On a date-partitioned lake the filter
-    prunes partitions."""
-    from .metrics import daily_metrics
+    ``run_date=None`` keeps every date.  On a date-partitioned lake, whose
+    partition column is named by ``date_col``, the filter prunes partitions."""
+    from .metrics import daily_metrics, date_column
 
     src = assessed
     if run_date is not None:
-        from .metrics import date_column
-
-        d = date_column(assessed, rules)
+        d = date_column(rules, date_col)
         src = assessed.filter(d <= F.lit(run_date).cast("date"))
-    t = trends(daily_metrics(src, rules), rules)
+    t = trends(daily_metrics(src, rules, date_col), rules)
     if run_date is not None:
         t = t.filter(F.col("date") == F.lit(run_date).cast("date"))
     return t

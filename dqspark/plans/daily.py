@@ -25,7 +25,8 @@ from ..operators import (
     trends,
 )
 from ..rules import Rules
-from ..sources.lake import publish, read_lake, stamp
+from ..sources.lake import DATE, publish, read_lake, stamp
+from ..sources.snapshots import commit, new_version
 
 
 @dataclass
@@ -37,11 +38,14 @@ class DailyResults:
     risk: DataFrame
 
 
-def daily_results(assessed: DataFrame, rules: Rules, run_date=None) -> DailyResults:
+def daily_results(assessed: DataFrame, rules: Rules, run_date=None, date_col: str | None = DATE) -> DailyResults:
+    """Results of lake rows, whose ``date_col`` is the day of their time (None: derived
+    from it)."""
     src = assessed
-    if run_date is not None and "date" in assessed.columns:
-        src = assessed.filter(F.col("date") <= F.lit(run_date).cast("date"))
-    daily = daily_metrics(src, rules)
+    if run_date is not None:
+        day = F.col(date_col) if date_col else F.to_date(F.col(rules.time))
+        src = assessed.filter(day <= F.lit(run_date).cast("date"))
+    daily = daily_metrics(src, rules, date_col)
     tr = trends(daily, rules)
     if run_date is not None:
         tr = tr.filter(F.col("date") == F.lit(run_date).cast("date"))
@@ -68,10 +72,17 @@ def run_daily(
     ``documents`` (JSON key/value documents of the latest metrics and trends)."""
     assessed = read_lake(spark, lake_path, run_date)
     res = daily_results(assessed, rules, run_date)
-    daily_path = f"{out_path}/daily"
-    publish(res.daily, daily_path)
+    publish_results(spark, out_path, res.daily, res.problems, rules, run_date, written_at, show)
+    return res
+
+
+def publish_results(spark: SparkSession, out_path: str, daily: DataFrame, problems: DataFrame, rules: Rules, run_date=None, written_at=None, show: bool = False) -> DailyResults:
+    """Write a version of all result tables and put it in force (``snapshots``)."""
+    version = new_version(out_path)
+    daily_path = f"{version}/daily"
+    publish(daily, daily_path)
     daily = spark.read.parquet(daily_path)  # reuse the written table, not the lineage
-    publish(stamp(latest_per_entity(daily, rules), written_at), f"{out_path}/latest")
+    publish(stamp(latest_per_entity(daily, rules), written_at), f"{version}/latest")
     # each entity's latest trend up to the run date: one that was silent on that
     # day keeps its last
     tr = trends(daily, rules)
@@ -80,17 +91,19 @@ def run_daily(
     with_risk = tr.withColumn(
         "predicted_issue_risk", issue_risk(F.col("trend_direction"), F.col("quality_variance"))
     )
-    publish(stamp(with_risk, written_at), f"{out_path}/trends")
+    publish(stamp(with_risk, written_at), f"{version}/trends")
     # the same, as key/value documents (what a cache consumer reads)
-    latest = spark.read.parquet(f"{out_path}/latest")
-    latest_trends = latest_per_entity(spark.read.parquet(f"{out_path}/trends"), rules)
+    latest = spark.read.parquet(f"{version}/latest")
+    latest_trends = latest_per_entity(spark.read.parquet(f"{version}/trends"), rules)
     docs = daily_documents(latest, rules).withColumn("kind", F.lit("daily")).unionByName(
         trend_documents(latest_trends, rules).withColumn("kind", F.lit("trend"))
     )
-    docs.write.mode("overwrite").json(f"{out_path}/documents")
-    publish(entity_comparison_from_daily(daily, rules), f"{out_path}/comparison")  # no second lake scan
-    publish(res.problems, f"{out_path}/problems")
+    docs.write.mode("overwrite").json(f"{version}/documents")
+    publish(entity_comparison_from_daily(daily, rules), f"{version}/comparison")  # no second lake scan
+    publish(problems, f"{version}/problems")
+    commit(spark, out_path, version)
     if show:  # S11: display only in the job entry point
         for name in ("daily", "latest", "trends", "comparison", "problems"):
-            spark.read.parquet(f"{out_path}/{name}").show(truncate=False)
-    return res
+            spark.read.parquet(f"{version}/{name}").show(truncate=False)
+    read = lambda name: spark.read.parquet(f"{version}/{name}")
+    return DailyResults(daily=read("daily"), trends=read("trends"), comparison=read("comparison"), problems=read("problems"), risk=predict_risk(read("trends"), rules))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from ..operators.assess import ISSUE_TS
 from ..rules import Rules
+from ..sources.snapshots import current
 
 SUMMARY_TTL = 300
 DAILY_TTL = 86_400
@@ -37,8 +38,12 @@ class Monitor:
         self.spark, self.rules = spark, rules
         self.published, self.lake, self.issues_path, self.summary_path = published, lake, issues, summary
 
+    def _published(self, name: str) -> DataFrame:
+        """A table of the version that is in force at the call."""
+        return self.spark.read.parquet(f"{current(self.spark, self.published)}/{name}")
+
     def _latest(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.published}/latest")
+        return self._published("latest")
 
     def daily_metrics(self, entity: str) -> DataFrame:
         """L3: newest daily metrics of one entity."""
@@ -58,7 +63,7 @@ class Monitor:
 
     def trend(self, entity: str) -> DataFrame:
         """Newest trend of one entity; 'unknown' when there is none."""
-        latest = ops.latest_per_entity(self.spark.read.parquet(f"{self.published}/trends"), self.rules)
+        latest = ops.latest_per_entity(self._published("trends"), self.rules)
         return ops.trend_lookup(self.spark, latest, self.rules, [entity])
 
     def recent_issues(self, limit: int = 10) -> DataFrame:

@@ -419,6 +419,8 @@ SELECT entity, '{{' || concat_ws(',',
                                 ELSE '0.4' END) || '}}', 'trend'
 FROM lt"""
     q["stream_restart"] = q["stream_late"] = q["stream_assess"]
+    q["daily_incremental"] = q["trends"]
+    q["daily_incremental_problems"] = q["problem_subjects"]
     q["stream_late_issues"] = f"""WITH {SCORED}
 SELECT entity, quality_score, count(*) AS issues FROM scored WHERE has_issues GROUP BY entity, quality_score"""
     # windows are days: one is closed when the greatest time so far, less the watermark, has passed its end

@@ -12,8 +12,10 @@ DATE = "date"
 
 
 def with_date(df: DataFrame, rules: Rules) -> DataFrame:
+    """Records with their partition column, the day of their time.  Records that have
+    a column of that name for something else are refused: it can't be kept."""
     if DATE in df.columns:
-        return df
+        raise ValueError(f"the lake's partition column {DATE!r} is the day of {rules.time!r}; rename the records' own column")
     return df.withColumn(DATE, F.to_date(F.col(rules.time)))
 
 
@@ -44,8 +46,8 @@ def read_lake(spark: SparkSession, path: str, run_date=None) -> DataFrame:
 
 
 def publish(df: DataFrame, path: str) -> None:
-    """Replace a published snapshot table.  Not atomic: a reader at the
-    moment of the overwrite can miss files."""
+    """Write a table of a version that no reader sees before it is committed
+    (``snapshots``)."""
     df.write.mode("overwrite").parquet(path)
 
 

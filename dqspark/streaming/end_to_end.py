@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from ..operators import assess, daily_report, status_breakdown
 from ..plans.daily import run_daily
+from ..plans.incremental import dates_to_do, run_daily_incremental
 from ..plans.monitor import Monitor
 from ..plans.present import present
 from ..plans.queries import ASOF_DATE, RECENT_LIMIT, TREND_KEYS, daily_batches
 from ..session import ensure_conf, scratch_path
 from ..sources.lake import read_lake
+from ..sources.snapshots import current
 from ..sources.tables import READINGS_RULES as R, event_readings, readings_from_events, table
 from .pipeline import StreamSinks, batch_writer, finish, start_assessment
 from .staged import read_progress
@@ -37,7 +39,7 @@ def monitor(spark: SparkSession, sf_dir: str) -> Monitor:
 
 def q_lake_daily_asof(spark, sf_dir):
     lake = read_lake(spark, written(spark, sf_dir).lake, ASOF_DATE)
-    return present(daily_report(lake, R, ASOF_DATE))
+    return present(daily_report(lake, R, ASOF_DATE, date_col="date"))
 
 
 def q_monitor_latest(spark, sf_dir):
@@ -119,7 +121,28 @@ def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(done.select("batch_id", "records", "late_records", "timeless_records", F.timestamp_micros("max_time").alias("max_time")))
 
 
+def q_daily_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job in two runs, the second of which reads only the later dates: the
+    trends that are in force afterwards."""
+    lake = written(spark, sf_dir).lake
+    root = scratch_path(spark, "incremental")
+    todo = dates_to_do(spark, lake, f"{root}/state")
+    run_daily_incremental(spark, lake, f"{root}/state", f"{root}/out", R, [d for d in todo if d <= ASOF_DATE])
+    run_daily_incremental(spark, lake, f"{root}/state", f"{root}/out", R)
+    return present(spark.read.parquet(f"{current(spark, f'{root}/out')}/trends").drop("written_at", "predicted_issue_risk"))
+
+
+def q_daily_incremental_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top subjects that one such run publishes."""
+    lake = written(spark, sf_dir).lake
+    root = scratch_path(spark, "incremental")
+    run_daily_incremental(spark, lake, f"{root}/state", f"{root}/out", R)
+    return present(spark.read.parquet(f"{current(spark, f'{root}/out')}/problems"))
+
+
 QUERIES = {
+    "daily_incremental": q_daily_incremental,
+    "daily_incremental_problems": q_daily_incremental_problems,
     "lake_daily_asof": q_lake_daily_asof,
     "monitor_latest": q_monitor_latest,
     "monitor_trend": q_monitor_trend,

@@ -10,6 +10,7 @@ import pytest
 from dqspark import Rules, vitals_rules
 from dqspark.jobs import main
 from dqspark.operators import assess
+from dqspark.sources.snapshots import current
 
 YAML = """
 completeness:
@@ -52,9 +53,9 @@ def test_stream_then_daily_job(spark):
     lake = spark.read.parquet(f"{root}/lake")
     assert lake.count() > 700
     main(["daily", "--rules", f"{root}/rules.yaml", "--time", "timestamp", "--lake", f"{root}/lake", "--out", f"{root}/out"])
-    latest = spark.read.parquet(f"{root}/out/latest")
+    latest = spark.read.parquet(f"{current(spark, f'{root}/out')}/latest")
     assert sorted(r["hospital"] for r in latest.collect()) == ["H0", "H1"]
-    assert spark.read.parquet(f"{root}/out/daily").count() >= 4
+    assert spark.read.parquet(f"{current(spark, f'{root}/out')}/daily").count() >= 4
 
 
 PLAIN = """

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from dqspark.operators import assess, attach_anomalies, assess_rows
 from dqspark.plans.daily import run_daily
+from dqspark.sources.snapshots import current
 from dqspark.sources import READINGS_RULES as R, event_readings, read_lake, write_lake
 
 SF = "/root/testdata/sf0.01"
@@ -58,12 +59,12 @@ def test_lake_partition_pruning_and_daily_job(spark):
     assert "PartitionFilters: [isnotnull(date" in plan and "<= 2024-01-10" in plan
     assert lake.select("date").distinct().count() == 10
     res = run_daily(spark, f"{root}/lake", f"{root}/out", R, run_date="2024-01-10", written_at=dt.datetime(2024, 1, 11))
-    latest = spark.read.parquet(f"{root}/out/latest")
+    latest = spark.read.parquet(f"{current(spark, f'{root}/out')}/latest")
     assert latest.count() == 5 and {r[0] for r in latest.select("date").distinct().collect()} == {dt.date(2024, 1, 10)}
-    tr = spark.read.parquet(f"{root}/out/trends")
+    tr = spark.read.parquet(f"{current(spark, f'{root}/out')}/trends")
     assert tr.select("date").distinct().count() == 1 and "predicted_issue_risk" in tr.columns
-    assert spark.read.parquet(f"{root}/out/problems").count() == 10
-    docs = spark.read.json(f"{root}/out/documents")
+    assert spark.read.parquet(f"{current(spark, f'{root}/out')}/problems").count() == 10
+    docs = spark.read.json(f"{current(spark, f'{root}/out')}/documents")
     assert docs.filter("kind = 'daily'").count() == 5 and docs.filter("kind = 'trend'").count() == 5
     assert '"healthStatus"' in docs.filter("kind = 'daily'").first()["value"]
     assert res.daily.agg(F.sum("total_records")).first()[0] == lake.count()
