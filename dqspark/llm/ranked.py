@@ -26,13 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 
-from .common import F, keep, materialize_counted, only, small_batches, sql_type
+from .common import F, keep, materialize_counted, only, scratch_path, small_batches, sql_type
 
 BLOCK_POSTINGS = 400_000  # a block ends behind the document that reaches this
 BLOCK_DOCS = 1 << 16
 SLICE_BYTES = 8_000_000
 LOT_BYTES = 32 << 20  # text of the items that are searched for at once
 MERGE_WAYS = 64
+ROW_GROUP_BYTES = 4 << 20
 WIDTH = 256  # document ranges that are opened at once
 
 # What separates terms, and the scoring formula.
@@ -262,7 +263,12 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if ids:
             yield flush()
 
-    return keep(src.mapInArrow(build, names), "ranked-index")
+    # a block is one long row, so a row group of a few blocks: writer and reader hold one group at a time
+    path = scratch_path(docs.sparkSession, "ranked-index")
+    found = src.mapInArrow(build, names)
+    w = found.write.option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.block.size.row.check.min", 1).option("parquet.block.size.row.check.max", 1)
+    w.option("parquet.page.size.row.check.min", 1).option("parquet.enable.dictionary", "false").parquet(path)
+    return docs.sparkSession.read.schema(found.schema).parquet(path)
 
 
 def _treap_of(row: dict) -> Treap:
