@@ -37,13 +37,22 @@ def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadca
     """The rows of ``docs`` whose id is not among ``ids`` (one column); rows
     with a null id stay.  Up to ``broadcast_rows`` different ids (about 20 MB)
     are broadcast; more are joined by shuffle."""
-    ids = ids.toDF("_gone").filter("_gone IS NOT NULL").distinct()
+    gone = unused(docs, "gone")
+    ids = ids.toDF(gone).filter(F.col(gone).isNotNull()).distinct()
     ids, n = materialize_counted(ids, "dropped-ids")
-    return docs.join(F.broadcast(ids) if n <= broadcast_rows else ids, docs[f"`{id_col}`"] == F.col("_gone"), "left_anti")
+    return docs.join(F.broadcast(ids) if n <= broadcast_rows else ids, docs[f"`{id_col}`"] == F.col(gone), "left_anti")
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores in front of it, such that ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def sql_type(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-__all__ = ["F", "table", "keep", "materialize_counted", "scratch_path", "only", "small_batches", "sql_type", "without_ids"]
+__all__ = ["F", "table", "keep", "materialize_counted", "scratch_path", "only", "small_batches", "sql_type", "unused", "without_ids"]

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import F, keep, materialize_counted, only, small_batches, sql_type, without_ids
+from .common import F, keep, materialize_counted, only, small_batches, sql_type, unused
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 RUN_BYTES = 4_000_000
@@ -47,14 +47,23 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shingles' XXH64 (seed 42).  Words are runs of other than ASCII white space,
     with A-Z lower-cased; repeats count; fewer words than ``shingle`` are one
     shingle; no words (or a null text) give 0."""
+    return _marked(docs, id_col, text_col, shingle).select("doc_id", "fp")
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(doc_id, mark, fp): ``mark``, a hash of the text, tells rows of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
-            fp = fingerprints_of(b.column(1).to_pylist(), shingle)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            fp = fingerprints_of(b.column(2).to_pylist(), shingle)
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(fp.view(np.int64))], names=["doc_id", "mark", "fp"])
 
     src = only(docs, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
-    return src.mapInArrow(run, f"doc_id {sql_type(src, 'doc_id')}, fp bigint")
+    return src.select("doc_id", _mark("text"), "text").mapInArrow(run, f"doc_id {sql_type(src, 'doc_id')}, mark bigint, fp bigint")
+
+
+def _mark(text: str):
+    return F.xxhash64(F.col(text).cast("string")).alias("mark")
 
 
 def _word_runs(text: bytes, k: int) -> Iterator[list[bytes]]:
@@ -231,25 +240,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids keep their rows; they count for no component's smallest id.  An empty
     table gives an empty result; other columns are not read.
     """
+    rows = _labelled(docs, id_col, text_col, shingle, bits, hot)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"))
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, bits: int, hot: int) -> DataFrame:
+    """(doc_id, mark, fp, first): ``first``, the smallest (doc_id, mark) of the component
+    (null where all ids are)."""
     if not 0 <= bits <= 6:
         raise ValueError("bits must be from 0 to 6")
-    fps = keep(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    nodes = keep(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-nodes")
+    fps = keep(_marked(docs, id_col, text_col, shingle), "simhash")
+    own = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))
+    nodes = keep(fps.groupBy("fp").agg(F.min(own).alias("low")), "simhash-nodes")
     found = components(links(nodes.select("fp"), bits, hot))
     # nodes in components of more than one, with their component's smallest id
     member = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
     joined = nodes.join(member.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    low = joined.groupBy("root").agg(F.min("low").alias("component_id"))
-    label = joined.select("fp", "root").join(low, "root").select("fp", "component_id")
-    return fps.join(label, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    low = joined.groupBy("root").agg(F.min("low").alias("first"))
+    label = joined.select("fp", "root").join(low, "root").select("fp", "first")
+    return fps.join(label, "fp").select("doc_id", "mark", "fp", "first")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = MAX_BITS, hot: int = HOT_LIST, broadcast_rows: int = 2_000_000) -> DataFrame:
     """The rows of ``docs`` less near-duplicates: of each component the row with the
-    smallest id stays, one of those with that id.  Rows with a null id stay."""
-    found = keep(near_duplicates(docs, id_col, text_col, **options), "near-duplicates")
-    left = without_ids(docs, found.filter("doc_id != component_id").select("doc_id"), id_col)
-    if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return left
-    named = left.filter(left[f"`{id_col}`"].isNotNull()).dropDuplicates([id_col])
-    return named.unionByName(left.filter(left[f"`{id_col}`"].isNull()))
+    smallest id stays; of several rows of that id, the one whose text has the smallest
+    hash.  Rows of one id with texts that are no near-copies all stay, as do rows with a
+    null id.  Up to ``broadcast_rows`` dropped rows (about 40 MB) are broadcast."""
+    found = keep(_labelled(docs, id_col, text_col, shingle, bits, hot).filter("doc_id IS NOT NULL").select("doc_id", "mark", "first"), "near-duplicates")
+    own = F.struct("doc_id", "mark")
+    g_id, g_mark, mark = unused(docs, "gone_id"), unused(docs, "gone_mark"), unused(docs, "text_mark")
+    gone, n = materialize_counted(found.filter(own != F.col("first")).select(F.col("doc_id").alias(g_id), F.col("mark").alias(g_mark)).distinct(), "near-duplicates-gone")
+    rows = docs.withColumn(mark, _mark(f"`{text_col}`"))
+    same = (rows[f"`{id_col}`"] == F.col(g_id)) & (F.col(mark) == F.col(g_mark))
+    left = rows.join(F.broadcast(gone) if n <= broadcast_rows else gone, same, "left_anti")
+    if not found.groupBy("doc_id", "mark").count().filter("count > 1").isEmpty():
+        # whole rows that repeat: one of each stays
+        named = left.filter(left[f"`{id_col}`"].isNotNull()).dropDuplicates([id_col, mark])
+        left = named.unionByName(left.filter(left[f"`{id_col}`"].isNull()))
+    return left.drop(mark)

@@ -155,6 +155,24 @@ def test_margins_of_long_texts(monkeypatch):
     assert some.tolist() == [True, False, True, True]
 
 
+def test_rows_of_one_id_are_told_apart(spark):
+    """Stages that drop rows drop a text, not all that has its id; no column name is in their way."""
+    import corpus_pipeline as C
+
+    sf = "/root/testdata/sf0.001"
+    item = table(spark, sf, "benchmark").first().text
+    clean = "a quiet text of its own that no other document repeats in any of its words at all " * 2
+    rows = [(1, clean), (2, clean), (2, "quite another text that has the id of a copy but nothing else in common with it, is it"), (3, f"{clean} {item}"), (3, "third text with an id that it shares with a contaminated one and which is clean"), (None, item), (None, clean), (4, "repeated whole row of this table that is there twice"), (4, "repeated whole row of this table that is there twice")]
+    docs = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], "doc_id long, text string, gone int, _gone int, gone_id int, row_key int")
+    left = C.near_duplicates(spark, docs, sf)
+    assert left.columns == docs.columns
+    kept = sorted([(r.doc_id, r.text) for r in left.collect()], key=repr)
+    assert kept == sorted([r for i, r in enumerate(rows) if i not in (1, 8)], key=repr)
+    left = C.decontaminate(spark, docs, sf)
+    assert left.columns == docs.columns
+    assert sorted([(r.doc_id, r.text) for r in left.collect()], key=repr) == sorted([r for i, r in enumerate(rows) if i not in (3, 5)], key=repr)
+
+
 def test_pipeline(spark):
     import corpus_pipeline as C
 
