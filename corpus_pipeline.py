@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqspark.llm.common import keep, table, without_ids
+from dqspark.llm.common import keep, table, unused, without_ids
 from dqspark.llm.decontaminate import contaminated
 from dqspark.llm.langid import fit, held_out, identified
 from dqspark.llm.linededup import OWN_DOCS, drop_lines
@@ -19,7 +19,8 @@ from dqspark.llm.simhash import drop_near_duplicates
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter go."""
+    """Documents whose language can be told; those without a letter, and null texts, go.
+    Repeated rows are judged alike."""
     return identified(docs, fit(docs.filter(~held_out(F.col("doc_id")))))
 
 
@@ -30,13 +31,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, that of the smallest id; texts of
+    one id that are no near-copies all stay, as do rows without an id."""
     return drop_near_duplicates(docs, shingle=3, bits=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return without_ids(docs, contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
+    """Documents that hold no benchmark item.  Id and text together name a document: of
+    one id's texts only those that hold an item go; null ids are judged alike."""
+    key = unused(docs, "row_key")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    found = contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col=key).select("doc_id")
+    return without_ids(keyed, found, key).drop(key)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
