@@ -54,11 +54,32 @@ def test_token_file(spark, docs):
     assert tokenfile.write_and_read(docs.limit(0), WORDS).collect() == []
 
 
-def test_counts(spark, docs):
-    got = tokencount.count_tokens(docs, BYTES, limit=4, table_size=3, per_task=2).collect()
+@pytest.mark.parametrize("options", [{}, {"table_size": 3}, {"table_size": 0}, {"sample_rows": 1}])
+def test_counts(spark, docs, options):
+    out = tokencount.count_tokens(docs, BYTES, limit=4, **options)
     want = [(d, len((t or "").encode()), len(encoded(BYTES, t)), len(encoded(BYTES, t)) > 4) for d, t in ROWS]
-    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
-    assert tokencount.count_tokens(docs.limit(0), BYTES).collect() == []
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+    assert tokencount.count_tokens(docs.limit(0), BYTES, **options).collect() == []
+
+
+def test_no_piece_is_shuffled(spark, docs):
+    stored = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for df in (tokencount.count_tokens(stored, BYTES), tokencount.sampled_pieces(stored, BYTES)):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    assert tokencount.sampled_pieces(stored, BYTES, rows=20, per_row=3).count() <= 3 * 60
+
+
+@settings(max_examples=80, deadline=None)
+@given(pieces=st.lists(st.binary(min_size=1, max_size=tokencount.WIDTH + 8), min_size=1, max_size=60, unique=True), data=st.data())
+def test_piece_table(pieces, data):
+    """A hit has the table's count; whatever else (zeros at the end, other lengths) is a miss."""
+    held = [p for p in data.draw(st.lists(st.sampled_from(pieces), unique=True)) if len(p) <= tokencount.WIDTH]
+    t = tokencount.piece_table(held, [i + 1 for i in range(len(held))])
+    asked = pieces + [p + b"\0" for p in pieces]
+    a = np.frombuffer(b"".join(asked), dtype=np.uint8)
+    end = np.cumsum([len(p) for p in asked])
+    want = {p: i + 1 for i, p in enumerate(held)}
+    assert t.find(a, np.append(0, end[:-1]), end).tolist() == [want.get(p, -1) for p in asked]
 
 
 @settings(max_examples=60, deadline=None)
