@@ -16,6 +16,7 @@ from .. import operators as ops
 from ..operators.assess import ISSUE_TS
 from ..rules import Rules
 from ..sources.snapshots import current
+from ..sources.zones import issue_schema, newest_folders
 
 SUMMARY_TTL = 300
 DAILY_TTL = 86_400
@@ -68,11 +69,13 @@ class Monitor:
 
     def recent_issues(self, limit: int = 10) -> DataFrame:
         """Newest issues (at most ``max_limit``)."""
-        return ops.recent_issues(self._issue_rows(), min(limit, self.max_limit))
+        limit = min(limit, self.max_limit)
+        return ops.recent_issues(self._issue_rows(limit), limit)
 
     def issues_by_severity(self, severity: str, limit: int = 10) -> DataFrame:
         """Newest issues of one severity (at most ``max_limit``)."""
-        return ops.issues_by_severity(self._issue_rows(), severity, min(limit, self.max_limit))
+        limit = min(limit, self.max_limit)
+        return ops.issues_by_severity(self._issue_rows(limit, severity), severity, limit)
 
     def current_status(self, as_of=None, ttl_seconds: int = SUMMARY_TTL) -> DataFrame:
         """Newest micro-batch summary still inside its time-to-live."""
@@ -83,11 +86,15 @@ class Monitor:
         """Published daily metrics still inside their time-to-live."""
         return ops.fresh(self._latest(), as_of if as_of is not None else F.current_timestamp(), ttl_seconds)
 
-    def _issue_rows(self) -> DataFrame:
-        """Issues as typed rows: the JSON documents of the issues sink, decoded
-        with the issue schema derived from the lake's schema (footer only)."""
-        lake = self.spark.read.parquet(self.lake)
-        schema = ops.with_severity(ops.extract_issues(lake, self.rules)).schema
-        # a known schema: no pass over all documents to infer one
-        docs = self.spark.read.schema("value string, batch_id bigint").json(self.issues_path)
+    def _issue_rows(self, limit: int, severity: str | None = None) -> DataFrame:
+        """Issues as typed rows: the JSON documents of the folders that can hold one of
+        the ``limit`` newest (``zones``), as they are when the lookup is made."""
+        schema = issue_schema(self.spark, self.issues_path)
+        if schema is None:  # no zones: the schema follows from the lake's
+            schema = ops.with_severity(ops.extract_issues(self.spark.read.parquet(self.lake), self.rules)).schema
+        folders = newest_folders(self.spark, self.issues_path, limit, severity)
+        if folders:  # a known schema: no pass over the documents to infer one
+            docs = self.spark.read.schema("value string").json([f"{self.issues_path}/{name}" for name in folders])
+        else:
+            docs = self.spark.createDataFrame([], "value string")
         return docs.select(F.from_json("value", schema, {"timestampFormat": ISSUE_TS}).alias("d")).select("d.*")

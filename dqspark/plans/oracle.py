@@ -354,7 +354,8 @@ WHERE written_at > TIMESTAMP '2024-01-31 12:00:00' - INTERVAL 86400 SECOND"""
     q["lake_daily_asof"] = q["daily_asof"]
     q["monitor_latest"] = q["latest_metrics"]
     q["monitor_trend"] = q["trend_lookup"]
-    q["monitor_issues"] = q["recent_issues"]
+    q["monitor_issues"] = q["monitor_issues_windows"] = q["recent_issues"]
+    q["monitor_issues_severity"] = q["issues_by_severity"]
     q["status_breakdown"] = f"""WITH {SCORED},
 b AS (
   SELECT CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS BIGINT) AS batch_id, entity, count(*) AS records,

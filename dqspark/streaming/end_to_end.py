@@ -12,7 +12,7 @@ from ..plans.daily import run_daily
 from ..plans.incremental import dates_to_do, run_daily_incremental
 from ..plans.monitor import Monitor
 from ..plans.present import present
-from ..plans.queries import ASOF_DATE, RECENT_LIMIT, TREND_KEYS, daily_batches
+from ..plans.queries import ASOF_DATE, RECENT_LIMIT, SEVERITY, SEVERITY_LIMIT, TREND_KEYS, daily_batches
 from ..session import ensure_conf, scratch_path
 from ..sources.lake import read_lake
 from ..sources.snapshots import current
@@ -56,6 +56,21 @@ def q_monitor_issues(spark, sf_dir):
     return present(monitor(spark, sf_dir).recent_issues(RECENT_LIMIT))
 
 
+def _staged_monitor(spark: SparkSession, sf_dir: str) -> Monitor:
+    """Lookups over what a bounded run writes, a folder of issues a window."""
+    root = _runs(spark, sf_dir, 1, lambda events: F.lit(0))
+    return Monitor(spark, R, f"{root}/published", f"{root}/lake", f"{root}/issues", f"{root}/summary")
+
+
+def q_monitor_issues_windows(spark, sf_dir):
+    """L8 over many folders: only those that the zone map names are opened."""
+    return present(_staged_monitor(spark, sf_dir).recent_issues(RECENT_LIMIT))
+
+
+def q_monitor_issues_severity(spark, sf_dir):
+    return present(_staged_monitor(spark, sf_dir).issues_by_severity(SEVERITY, SEVERITY_LIMIT))
+
+
 def q_status_breakdown(spark, sf_dir):
     ensure_conf(spark)
     return present(status_breakdown(daily_batches(assess(event_readings(spark, sf_dir), R))))
@@ -147,6 +162,8 @@ QUERIES = {
     "monitor_latest": q_monitor_latest,
     "monitor_trend": q_monitor_trend,
     "monitor_issues": q_monitor_issues,
+    "monitor_issues_windows": q_monitor_issues_windows,
+    "monitor_issues_severity": q_monitor_issues_severity,
     "status_breakdown": q_status_breakdown,
     "stream_restart": q_stream_restart,
     "stream_late": q_stream_late,

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..operators import assess, batch_summary, extract_issues, issue_json, row_issues, with_severity
 from ..rules import Rules
 from ..sources.lake import with_date
+from ..sources.zones import forget_zones, write_zones
 from .staged import OPEN, StagedWindows
 
 
@@ -67,7 +68,9 @@ def batch_writer(rules: Rules, sinks: StreamSinks, ingest_col: str | None = None
                     if batch_id != OPEN:  # a topic gets them when their window closes
                         issue_json(issues).write.format("kafka").options(**sinks.issues_options).save()
                 else:
+                    forget_zones(batch.sparkSession, sinks.issues, [f"batch_id={batch_id}"])
                     _overwrite_partitions(payload, sinks.issues, ["batch_id"], "json", sinks.issues_options)
+                    write_zones(issues.withColumn("batch_id", F.lit(batch_id).cast("bigint")), sinks.issues, "batch_id")
             if sinks.summary:
                 summ = batch_summary(batch, rules).select(
                     F.lit(batch_id).cast("bigint").alias("batch_id"),
@@ -197,6 +200,8 @@ def write_open_rows(spark: SparkSession, rules: Rules, sinks: StreamSinks, check
 def drop_open_rows(spark: SparkSession, sinks: StreamSinks) -> None:
     """Remove what ``write_open_rows`` has written."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    if sinks.issues:
+        forget_zones(spark, sinks.issues, [f"batch_id={OPEN}"])
     places = [f"{sinks.lake}/date=*/batch_id={OPEN}", *[f"{p}/batch_id={OPEN}" for p in (sinks.issues, sinks.summary) if p]]
     for place in places:
         at = jvm.org.apache.hadoop.fs.Path(place)

@@ -26,6 +26,7 @@ from ..functions.timewin import duration_micros, window_start
 from ..operators import assess, batch_summary, extract_issues, issue_json, with_severity
 from ..rules import Rules
 from ..sources.lake import with_date
+from ..sources.zones import forget_zones, write_zones
 
 WINDOW, BATCH, PART = "win", "batch_id", "part"
 NO_WINDOW = "__HIVE_DEFAULT_PARTITION__"
@@ -152,12 +153,15 @@ class StagedWindows:
                 if final:
                     issue_json(with_severity(extract_issues(fresh, rules, self.ingest_col))).write.format("kafka").options(**sinks.issues_options).save()
             elif sinks.issues:
+                parts = [f"w{w}" for w in windows] + ([f"b{batch_id}"] if timeless else [])
+                forget_zones(self.spark, sinks.issues, [f"{PART}={p}" for p in parts])
                 # a window may have had issues that it has no more
                 for w in windows:
                     self._drop(f"{sinks.issues}/{PART}=w{w}")
                 also = (BATCH, PART)
                 issues = with_severity(extract_issues(rows, rules, self.ingest_col, also))
                 _overwrite(issue_json(issues, also), sinks.issues, [PART], "json", sinks.issues_options)
+                write_zones(issues.drop(BATCH), sinks.issues, PART)
             if sinks.summary:
                 s = batch_summary(fresh, rules).select(F.lit(batch_id).cast("bigint").alias(BATCH), F.current_timestamp().alias("written_at"), "*")
                 _overwrite(s, sinks.summary, [BATCH])
