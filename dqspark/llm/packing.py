@@ -3,8 +3,14 @@
 Each group of pieces is packed best-fit on its own.  Bins that are nearly full
 are done; the others go up as items, each as long as what it holds, to the
 group that several groups share, where best-fit runs again, and so on up a
-tree until one group is left.  A group passes up at most ``carry`` bins, its
-emptiest, so no task grows with the corpus.
+tree until one group is left.
+
+Best-fit leaves at most one bin of a group half full or less, and two bins that are
+fuller never go together.  So a round has at most ``fan`` items that can go into
+another bin, and all rounds above a group ask it for at most ``fan`` bins each.  Of
+bins that are equally full a group therefore passes up only so many as all rounds
+above could fill; the others are done, and no round would have changed them.  A task
+gets at most ``fan * capacity / 2 * fan * rounds`` bins, however large the corpus is.
 """
 
 from __future__ import annotations
@@ -75,19 +81,23 @@ def best_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int], l
     return where, offset, level
 
 
-def _round(depth: int, last: bool, capacity: int, near_full: float, carry: int):
-    """One group's best-fit; bins that are not done go up as items."""
+def hosts_kept(fan: int, rounds: int) -> int:
+    """How many equally full bins of a group the ``rounds`` above it can fill at most."""
+    return fan * rounds
+
+
+def _round(depth: int, hosts: int, capacity: int, near_full: float):
+    """One group's best-fit; bins that are not done go up as items, ``hosts`` of each
+    level (0: the last round)."""
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "item"], ascending=[False, True], kind="stable")
         where, offset, levels = best_fit(pdf["length"].tolist(), capacity)
         lv = np.array(levels)
-        done = np.full(len(lv), True)
-        if not last:
-            done = lv >= near_full * capacity
-            left = np.flatnonzero(~done)
-            if len(left) > carry:
-                done[left[np.argsort(lv[left], kind="stable")[carry:]]] = True
+        order = np.argsort(lv, kind="stable")
+        ranks = np.empty(len(lv), dtype=np.int64)
+        ranks[order] = np.arange(len(lv)) - np.searchsorted(lv[order], lv[order])
+        done = (lv >= near_full * capacity) | (ranks >= hosts)
         where = np.array(where)
         grp = int(pdf["grp"].iloc[0])
         number = ((depth + 1) << 57) + (grp << 26) + where
@@ -96,12 +106,13 @@ def _round(depth: int, last: bool, capacity: int, near_full: float, carry: int):
     return fit
 
 
-def pack(pieces: DataFrame, key: str = "key", length: str = "length", capacity: int = CAPACITY, near_full: float = 0.995, group_size: int = 40_000, fan: int = 8, carry: int = 4_000) -> DataFrame:
+def pack(pieces: DataFrame, key: str = "key", length: str = "length", capacity: int = CAPACITY, near_full: float = 0.995, group_size: int = 40_000, fan: int = 8) -> DataFrame:
     """(key, sequence_id, offset) of every piece: gapless places in sequences of
     at most ``capacity``.
 
     ``key`` must tell pieces apart (any 64-bit whole number from 0); lengths
-    are from 1 to ``capacity``.  Ties are broken by key, so equal input packs equally.
+    are from 1 to ``capacity``; ``near_full`` is over 0.5.  Ties are broken by key, so
+    equal input packs equally.
     """
     items, n = materialize_counted(only(pieces, item=key, length=length).select(F.col("item").cast("long"), F.col("length").cast("int")), "pack-items")
     full = items.filter(F.col("length") >= capacity).select(F.col("item").alias("key"), (-F.col("item") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
@@ -112,7 +123,10 @@ def pack(pieces: DataFrame, key: str = "key", length: str = "length", capacity:
     depth = 0
     while True:
         last = groups == 1
-        step = keep(level.groupBy("grp").applyInPandas(_round(depth, last, capacity, near_full, carry), schema), "pack-round")
+        rounds, left = 0, groups
+        while left > 1:
+            rounds, left = rounds + 1, math.ceil(left / fan)
+        step = keep(level.groupBy("grp").applyInPandas(_round(depth, hosts_kept(fan, rounds), capacity, near_full), schema), "pack-round")
         if placed is None:
             placed = step.select(F.col("item").alias("key"), "bin", "offset", "done")
         else:

@@ -99,13 +99,17 @@ def test_best_fit(lengths):
         room[b] = room.get(b, 20) - n
 
 
-@pytest.mark.parametrize("options", [{}, {"group_size": 40, "carry": 5, "fan": 2}, {"group_size": 10, "carry": 1, "fan": 3}])
-def test_hierarchical_packing(spark, options):
-    rng = np.random.default_rng(5)
-    lengths = [int(x) for x in np.minimum(100, rng.exponential(30, 400) + 1)]
+SHAPES = {
+    "spread": lambda rng: np.minimum(100, rng.exponential(30, 400) + 1),
+    "halves": lambda rng: rng.integers(46, 56, 400),
+    "few small": lambda rng: np.where(rng.random(400) < 0.03, rng.integers(1, 40, 400), rng.integers(51, 97, 400)),
+}
+
+
+def packed(spark, lengths, **options):
     pieces = spark.createDataFrame(list(enumerate(lengths)), "key long, length int")
     got = packing.pack(pieces, capacity=100, **options).collect()
-    assert sorted(r.key for r in got) == list(range(400))
+    assert sorted(r.key for r in got) == list(range(len(lengths)))
     bins = {}
     for r in got:
         bins.setdefault(r.sequence_id, []).append((r.offset, lengths[r.key]))
@@ -115,7 +119,22 @@ def test_hierarchical_packing(spark, options):
             assert o == at
             at += n
         assert at <= 100
-    assert len(bins) <= (1.05 if not options else 1.3) * -(-sum(lengths) // 100)
+    return bins
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("options", [{"group_size": 40, "fan": 2}, {"group_size": 10, "fan": 3}])
+def test_no_round_misses_a_bin_that_was_held_back(spark, monkeypatch, shape, options):
+    """As many sequences as when every underfull bin goes up."""
+    lengths = [int(x) for x in SHAPES[shape](np.random.default_rng(5))]
+    bins = packed(spark, lengths, **options)
+    monkeypatch.setattr(packing, "hosts_kept", lambda fan, rounds: 10**9 if rounds else 0)
+    assert len(bins) == len(packed(spark, lengths, **options))
+
+
+def test_packing_of_one_group_is_tight(spark):
+    lengths = [int(x) for x in SHAPES["spread"](np.random.default_rng(5))]
+    assert len(packed(spark, lengths)) <= 1.05 * -(-sum(lengths) // 100)
 
 
 def test_pack_documents(spark, docs):
