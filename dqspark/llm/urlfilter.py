@@ -57,19 +57,35 @@ def listed(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Colu
     return F.greatest(*every) if len(every) > 1 else every[0]
 
 
-def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6, min_lift: float = 1.2) -> DataFrame:
+def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6, min_lift: float = 1.2, min_count: int = 5) -> DataFrame:
     """(rule_id, items, confidence, support): token combinations that go with
-    ``block``, from rows (url, blocked boolean).  All labelled rows count.  A
+    ``block``, from rows (url, blocked boolean).  All labelled rows count; a rule
+    stands on at least ``min_count`` blocked ones, however few rows there are.  A
     rule that holds another rule's tokens and is no more reliable is left out
-    by its support and confidence alone; the rest may overlap."""
+    (``pruned``)."""
     items = labelled.filter("blocked IS NOT NULL AND url IS NOT NULL").select(F.concat(tokens_of(F.col("url")), F.when(F.col("blocked"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))).alias("items"))
     items = keep(items, "url-items")
     schema = "rule_id bigint, items array<string>, confidence double, support double"
-    if items.isEmpty():
+    n = items.count()
+    if n < min_count or not n:
         return labelled.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    # half a row less, as the miner rounds support * rows up
+    support = max(min_support, (min_count - 0.5) / n)
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
     rules = model.associationRules.filter((F.size("consequent") == 1) & (F.col("consequent")[0] == BLOCK) & (F.col("lift") >= min_lift))
-    return keep(rules.select(F.xxhash64(F.array_sort("antecedent")).alias("rule_id"), F.array_sort("antecedent").alias("items"), "confidence", "support"), "url-rules")
+    rules = rules.select(F.xxhash64(F.array_sort("antecedent")).alias("rule_id"), F.array_sort("antecedent").alias("items"), "confidence", "support")
+    return keep(pruned(keep(rules, "url-all-rules")), "url-rules")
+
+
+def pruned(rules: DataFrame) -> DataFrame:
+    """``rules`` but for those that hold all tokens of a smaller one at least as
+    reliable.  What a URL is judged does not change: it holds the smaller one too."""
+    held = rules.select("rule_id", "items", "confidence", F.explode("items").alias("token"))
+    often = held.groupBy("token").count()
+    small = held.join(often, "token").groupBy("rule_id", "items", "confidence").agg(F.min_by("token", F.struct("count", "token")).alias("token"))
+    small = small.select("token", F.col("items").alias("few"), F.col("confidence").alias("sure"))
+    beaten = held.join(small, "token").filter((F.size("few") < F.size("items")) & (F.col("sure") >= F.col("confidence")) & (F.size(F.array_except("few", "items")) == 0))
+    return rules.join(beaten.select("rule_id").distinct(), "rule_id", "left_anti")
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:

@@ -192,3 +192,24 @@ def test_pipeline(spark):
     out = C.packing(spark, now, sf)
     assert out.select("doc_id").distinct().count() == sizes[3]
     assert C.language_id(spark, docs.limit(0), sf).count() == 0
+
+
+def test_rules_stand_on_enough_rows_and_add_something(spark):
+    """Against all token sets of the labelled rows, counted one by one."""
+    from itertools import combinations
+
+    rows = [("http://a.org/x/y", True)] * 6 + [("http://a.org/x", True)] * 2 + [("http://a.org/z", False)] * 6 + [("http://b.org/once", True)] * 4
+    labelled = spark.createDataFrame(rows, "url string, blocked boolean")
+    sets = [(set(t[0].split("://")[1].replace("/", " p:").split()), t[1]) for t in rows]
+    sets = [({f"h:{p}" for p in next(w for w in s if not w.startswith("p:")).split(".")} | {w for w in s if w.startswith("p:")}, b) for s, b in sets]
+    base = sum(b for _, b in sets) / len(sets)
+    found = {}
+    for items in {frozenset(c) for s, _ in sets for k in range(1, len(s) + 1) for c in combinations(s, k)}:
+        with_it = [b for s, b in sets if items <= s]
+        sure = sum(with_it) / len(with_it)
+        if sum(with_it) >= 5 and sure >= 0.6 and sure / base >= 1.2:
+            found[items] = sure
+    want = {r: c for r, c in found.items() if not any(q < r and d >= c for q, d in found.items())}
+    got = {frozenset(r["items"]): r["confidence"] for r in urlfilter.mine(labelled).collect()}
+    assert got.keys() == want.keys() and all(abs(got[r] - want[r]) < 1e-9 for r in want)
+    assert frozenset({"p:once"}) not in got and urlfilter.mine(labelled.limit(4)).collect() == []
