@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from ..operators.assess import ISSUE_TS
 from ..rules import Rules
+from ..sources.lake import read_lake
 from ..sources.snapshots import current
 from ..sources.zones import issue_schema, newest_folders
 
@@ -91,7 +92,7 @@ class Monitor:
         the ``limit`` newest (``zones``), as they are when the lookup is made."""
         schema = issue_schema(self.spark, self.issues_path)
         if schema is None:  # no zones: the schema follows from the lake's
-            schema = ops.with_severity(ops.extract_issues(self.spark.read.parquet(self.lake), self.rules)).schema
+            schema = ops.with_severity(ops.extract_issues(read_lake(self.spark, self.lake), self.rules)).schema
         folders = newest_folders(self.spark, self.issues_path, limit, severity)
         if folders:  # a known schema: no pass over the documents to infer one
             docs = self.spark.read.schema("value string").json([f"{self.issues_path}/{name}" for name in folders])

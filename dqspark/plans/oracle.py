@@ -419,7 +419,7 @@ SELECT entity, '{{' || concat_ws(',',
                                 WHEN trend_direction = 'improving' AND quality_variance < 5 THEN '0.2'
                                 ELSE '0.4' END) || '}}', 'trend'
 FROM lt"""
-    q["stream_restart"] = q["stream_late"] = q["stream_assess"]
+    q["stream_restart"] = q["stream_late"] = q["lake_compacted"] = q["stream_assess"]
     q["daily_incremental"] = q["trends"]
     q["daily_incremental_problems"] = q["problem_subjects"]
     q["stream_late_issues"] = f"""WITH {SCORED}

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..rules import Rules
+from .packs import DATE, MAX_RECORDS_PER_FILE, has_packs, read_packed
 
-DATE = "date"
 
 
 def with_date(df: DataFrame, rules: Rules) -> DataFrame:
@@ -19,9 +19,6 @@ def with_date(df: DataFrame, rules: Rules) -> DataFrame:
     return df.withColumn(DATE, F.to_date(F.col(rules.time)))
 
 
-MAX_RECORDS_PER_FILE = 5_000_000
-
-
 def write_lake(assessed: DataFrame, path: str, rules: Rules, mode: str = "append") -> None:
     """Batch write.  ``rebalance`` brings a date's rows together, and AQE
     splits a hot date, even one of a single time, over several tasks by size
@@ -37,9 +34,9 @@ def write_lake(assessed: DataFrame, path: str, rules: Rules, mode: str = "append
 
 
 def read_lake(spark: SparkSession, path: str, run_date=None) -> DataFrame:
-    """Scan the lake; with ``run_date`` only partitions up to that date are
-    read (``PartitionFilters`` in the plan)."""
-    df = spark.read.parquet(path)
+    """Scan the lake, compacted (``packs``) or not; with ``run_date`` only partitions up
+    to that date are read (``PartitionFilters`` in the plan)."""
+    df = read_packed(spark, path) if has_packs(spark, path) else spark.read.parquet(path)
     if run_date is not None:
         df = df.filter(F.col(DATE) <= F.lit(run_date).cast("date"))
     return df

@@ -44,10 +44,13 @@ def new_version(root: str) -> str:
     return f"{root}/v-{uuid.uuid4().hex}"
 
 
-def commit(spark: SparkSession, root: str, version: str) -> None:
-    """Make a written version the one in force."""
+def commit(spark: SparkSession, root: str, version: str, over: str | None = None) -> bool:
+    """Make a written version the one in force.  ``over``: the version it was made from;
+    False if that is no longer in force, and nothing is done."""
     name = version.rsplit("/", 1)[1]
     held = _pointers(spark, root)
+    if over is not None and over != (f"{root}/{_target(spark, held[-1])}" if held else root):
+        return False
     number = int(held[-1].getPath().getName()) + 1 if held else 1
     tmp, fs = _fs(spark, f"{root}/{POINTERS}/.{name}")
     out = fs.create(tmp, True)
@@ -56,7 +59,10 @@ def commit(spark: SparkSession, root: str, version: str) -> None:
     while True:
         at, _ = _fs(spark, f"{root}/{POINTERS}/{number:012d}")
         if not fs.exists(at) and fs.rename(tmp, at):
-            return
+            return True
+        if over is not None:
+            fs.delete(tmp, False)
+            return False
         number += 1  # another publish was first; the last one to commit is in force
 
 

@@ -15,6 +15,7 @@ from ..plans.present import present
 from ..plans.queries import ASOF_DATE, RECENT_LIMIT, SEVERITY, SEVERITY_LIMIT, TREND_KEYS, daily_batches
 from ..session import ensure_conf, scratch_path
 from ..sources.lake import read_lake
+from ..sources.packs import compact, sweep
 from ..sources.snapshots import current
 from ..sources.tables import READINGS_RULES as R, event_readings, readings_from_events, table
 from .pipeline import StreamSinks, batch_writer, finish, start_assessment
@@ -76,9 +77,10 @@ def q_status_breakdown(spark, sf_dir):
     return present(status_breakdown(daily_batches(assess(event_readings(spark, sf_dir), R))))
 
 
-def _runs(spark: SparkSession, sf_dir: str, cuts: int, arrival) -> str:
+def _runs(spark: SparkSession, sf_dir: str, cuts: int, arrival, after=None) -> str:
     """Bounded runs on one checkpoint, the events of each arrival (0 to ``cuts`` - 1)
-    coming between them; the folder that they wrote to."""
+    coming between them, ``after`` called with the lake after each; the folder that
+    they wrote to."""
     ensure_conf(spark)
     root = scratch_path(spark, "runs")
     events = table(spark, sf_dir, "events")
@@ -87,6 +89,8 @@ def _runs(spark: SparkSession, sf_dir: str, cuts: int, arrival) -> str:
         events.filter(arrival(events) == k).write.mode("append").parquet(f"{root}/in")
         records = readings_from_events(spark.readStream.schema(events.schema).parquet(f"{root}/in"))
         finish(start_assessment(records, R, sinks, f"{root}/checkpoint", trigger={"availableNow": True}), R, sinks, f"{root}/checkpoint")
+        if after:
+            after(sinks.lake)
     return root
 
 
@@ -97,7 +101,7 @@ def _halves(events: DataFrame):
 
 
 def _assessed(spark: SparkSession, root: str) -> DataFrame:
-    lake = spark.read.parquet(f"{root}/lake")
+    lake = read_lake(spark, f"{root}/lake")
     return present(lake.select("event_id", "entity", "m1_zscore", "m1_anomaly", "m2_zscore", "m2_anomaly", "has_issues", "quality_score"))
 
 
@@ -121,6 +125,20 @@ def q_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assessed(spark, _runs(spark, sf_dir, 3, _late))
 
 
+def q_lake_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lake after those runs, compacted in place after each; after the second, the
+    small files are removed before late events re-assess windows that are packed."""
+    done = []
+
+    def after(lake: str) -> None:
+        compact(spark, lake, min_files=1)
+        done.append(lake)
+        if len(done) == 2:
+            sweep(spark, lake, 0)
+
+    return _assessed(spark, _runs(spark, sf_dir, 3, _late, after))
+
+
 def q_stream_late_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The issue documents that are left after those runs, counted by score."""
     root = _runs(spark, sf_dir, 3, _late)
@@ -158,6 +176,7 @@ def q_daily_incremental_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "daily_incremental": q_daily_incremental,
     "daily_incremental_problems": q_daily_incremental_problems,
+    "lake_compacted": q_lake_compacted,
     "lake_daily_asof": q_lake_daily_asof,
     "monitor_latest": q_monitor_latest,
     "monitor_trend": q_monitor_trend,

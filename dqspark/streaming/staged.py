@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.timewin import duration_micros, window_start
 from ..operators import assess, batch_summary, extract_issues, issue_json, with_severity
 from ..rules import Rules
-from ..sources.lake import with_date
+from ..sources.lake import read_lake, with_date
 from ..sources.zones import forget_zones, write_zones
 
 WINDOW, BATCH, PART = "win", "batch_id", "part"
@@ -183,7 +183,7 @@ class StagedWindows:
         at, fs = self._files(self.sinks.lake)
         if not gone or not fs.exists(at):
             return
-        lake = self.spark.read.parquet(self.sinks.lake).filter(F.col(PART).isin([f"w{w}" for w in gone]) & (F.col(BATCH) != batch_id))
+        lake = read_lake(self.spark, self.sinks.lake).filter(F.col(PART).isin([f"w{w}" for w in gone]) & (F.col(BATCH) != batch_id))
         raw = lake.select(*self.names, F.expr(f"cast(substring({PART}, 2) as bigint)").alias(WINDOW), F.col(BATCH).cast("bigint").alias(BATCH))
         _overwrite(raw, landing_path(self.checkpoint), [WINDOW, BATCH])
 
