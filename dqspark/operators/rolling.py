@@ -133,3 +133,47 @@ def count_window_anomalies(
         z = zscore(F.col(m), F.col(f"{p}_mean"), F.col(f"{p}_stddev"))
         flags += [z.alias(f"{p}_zscore"), (z > F.lit(float(rules.z_threshold))).alias(f"{p}_anomaly")]
     return out.select("*", *flags)
+
+
+def count_window_step(
+    new: DataFrame,
+    tail: DataFrame | None,
+    rules: Rules,
+    order_cols: tuple[str, ...],
+    window_rows: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """X2 without the history: ``new`` rows (a day's, say) with the columns of
+    ``count_window_anomalies``, and the tail that the next step starts from.
+
+    ``tail`` (None: there is no history) holds each entity's last ``window_rows`` - 1
+    rows, keys and measures only, so a step sorts the new rows and one window an
+    entity, however long the history.  The windows of steps in order are those of one run
+    over all rows.  New rows must come after their entity's tail in (``rules.time``,
+    *order_cols*), nulls first; a row that is older, or equal to the tail's last (its
+    statistics would be shared with rows already reported), stops the step.
+    Entities without new rows keep their tail; rows with a NULL entity are in none."""
+    n = int(window_rows or rules.row_window)
+    order = list(dict.fromkeys([rules.time, *order_cols]))
+    kept = list(dict.fromkeys([rules.entity, *order, *rules.anomaly]))
+    old = new.select(*kept).limit(0) if tail is None else tail.select(*kept)
+    if tail is not None:
+        _refuse_late(new, old, rules.entity, order)
+    mark = "_is_new"
+    rows = new.withColumn(mark, F.lit(True)).unionByName(old.withColumn(mark, F.lit(False)), allowMissingColumns=True)
+    out = count_window_anomalies(rows, rules, order_cols, n).filter(mark).drop(mark)
+
+    # WindowGroupLimit keeps n - 1 rows an entity and task before the shuffle
+    both = new.select(*kept).filter(F.col(rules.entity).isNotNull()).unionByName(old)
+    last = Window.partitionBy(rules.entity).orderBy(*[F.desc_nulls_last(c) for c in order], *[F.desc_nulls_last(F.col(m).cast("double")) for m in rules.anomaly])
+    return out, both.withColumn("_back", F.row_number().over(last)).filter(F.col("_back") < n).drop("_back")
+
+
+def _refuse_late(new: DataFrame, tail: DataFrame, entity: str, order: list[str]) -> None:
+    """Two partial aggregates, a row an entity each; structs compare field by field,
+    nulls first, as the sort does."""
+    at = F.struct(*order)
+    first = new.filter(F.col(entity).isNotNull()).groupBy(entity).agg(F.min(at).alias("_first"))
+    last = tail.groupBy(entity).agg(F.max(at).alias("_last"))
+    late = first.join(last, entity).filter(F.col("_first") <= F.col("_last")).select(entity).first()
+    if late is not None:
+        raise ValueError(f"rows of {late[0]!r} are not newer than its tail; run its history again")

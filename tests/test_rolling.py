@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 
 from dqspark import Range, Rules
-from dqspark.operators import count_window_anomalies
+from dqspark.operators import count_window_anomalies, count_window_step
 
 RULES = Rules(
     required=("entity",),
@@ -95,3 +95,37 @@ def test_repeated_rows_stay_as_many(spark, n):
             w = np.array([o[2] for o in own[max(0, last - n + 1) : last + 1]])
             assert np.isclose(r.x_mean, w.mean())
             assert r.x_stddev is None if len(w) == 1 else np.isclose(r.x_stddev, w.std(ddof=1), atol=1e-7)
+
+
+@pytest.mark.parametrize("n", [1, 7, 300])
+def test_steps_equal_one_run(spark, n):
+    """Three steps, entities that pause, null times, a tail longer than the history."""
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(240):
+        ent = None if i % 31 == 0 else "hot" if i % 2 else f"e{i % 7}"
+        at = None if i < 9 else base + dt.timedelta(minutes=i // 4)
+        rows.append((i, ent, None if i % 13 == 0 else float(i * i % 101), at))
+    schema = "id long, entity string, x double, ts timestamp"
+    one = {r["id"]: r for r in count_window_anomalies(spark.createDataFrame(rows, schema), RULES, ("id",), n).collect()}
+    got, tail = {}, None
+    for part in (rows[:100], [r for r in rows[100:180] if r[1] != "e2"], [], [r for r in rows[100:180] if r[1] == "e2"] + rows[180:]):
+        out, tail = count_window_step(spark.createDataFrame(part, schema), tail, RULES, ("id",), n)
+        tail = spark.createDataFrame(tail.collect(), tail.schema)
+        got |= {r["id"]: r for r in out.collect()}
+        assert all(r[0] < n for r in tail.groupBy("entity").count().select("count").collect())
+    assert got.keys() == one.keys()
+    for i, r in one.items():
+        for c in ("x_mean", "x_stddev", "x_zscore"):
+            assert got[i][c] == pytest.approx(r[c], abs=1e-9), (i, c)
+        assert got[i]["x_anomaly"] == r["x_anomaly"]
+
+
+def test_step_refuses_rows_older_than_the_tail(spark):
+    schema = "id long, entity string, x double, ts timestamp"
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    _, tail = count_window_step(spark.createDataFrame([(1, "a", 1.0, at(5)), (2, "b", 1.0, at(9))], schema), None, RULES, ("id",), 3)
+    count_window_step(spark.createDataFrame([(3, "a", 2.0, at(6))], schema), tail, RULES, ("id",), 3)
+    for late in ((3, "a", 2.0, at(4)), (1, "a", 1.0, at(5)), (3, "b", 2.0, None)):
+        with pytest.raises(ValueError, match="not newer"):
+            count_window_step(spark.createDataFrame([late], schema), tail, RULES, ("id",), 3)
