@@ -18,6 +18,7 @@ from .metrics import (  # noqa: F401
     entity_comparison_from_daily,
     null_percentage,
     problem_subjects,
+    problem_subjects_sketch,
 )
 from .serving import (  # noqa: F401
     critical_entities,
@@ -34,4 +35,4 @@ from .serving import (  # noqa: F401
     trend_lookup,
 )
 from .trends import daily_report, predict_risk, trends  # noqa: F401
-from .rolling import count_window_anomalies  # noqa: F401,E402
+from .rolling import count_window_anomalies, count_window_step  # noqa: F401,E402

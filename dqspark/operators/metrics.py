@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import checks, scoring
 from ..rules import Rules
+from ..session import materialize_counted
 
 DATE = "date"
 
@@ -96,6 +97,53 @@ def problem_subjects(assessed: DataFrame, rules: Rules, k: int = 10) -> DataFram
     )
 
 
+#: Pairs that the sketch tracks; it takes up to 16 bytes for each of twice as many.
+TRACKED = 1 << 16
+CANDIDATES = 1_000
+#: So many tasks' sketches are merged by one task, and theirs by another.
+FAN_IN = 512
+
+
+def problem_subjects_sketch(assessed: DataFrame, rules: Rules, k: int = 10, tracked: int = TRACKED, candidates: int = CANDIDATES) -> DataFrame:
+    """``problem_subjects``, the same rows, for more (subject, entity) pairs than one would
+    shuffle.  The flagged pairs are written once; each pass reads them.
+
+    1. As 64-bit hashes they go through Spark's mergeable frequent-items sketch: one
+       sketch of bounded size a task is shuffled, not its pairs.
+    2. The ``candidates`` likeliest hashes' pairs are counted exactly.
+    3. If the k-th of them has more flagged records than any other pair can have, they are
+       the answer; else, as when counts are flat, all pairs are counted."""
+    pair = [rules.subject, rules.entity]
+    flagged, total = materialize_counted(assessed.filter(F.col("has_issues")).select(*pair, "has_issues"), "flagged-pairs")
+    rows = _decided(flagged, rules, k, tracked, candidates, total) if 0 < k <= candidates else None
+    if rows is None:
+        return problem_subjects(flagged, rules, k)
+    schema = problem_subjects(flagged, rules, k).schema
+    return assessed.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("count"), *[F.asc_nulls_last(c) for c in pair])
+
+
+def _decided(flagged: DataFrame, rules: Rules, k: int, tracked: int, candidates: int, total: int) -> list | None:
+    """The ``k`` rows, where the sketch can tell that no other pair belongs to them.
+
+    The sketch's own error e says how much it may have dropped of any pair: one that
+    it does not hold has at most e records; one that it does not report, as its
+    least count is not over e, at most 2 e; one reported behind the ``candidates`` no
+    more than the estimate of the last of them, as estimates are never too low."""
+    if total == 0:
+        return []
+    pair = F.xxhash64(rules.subject, rules.entity)
+    some = flagged.select(pair.alias("_pair"), F.floor(F.spark_partition_id() / FAN_IN).alias("_group")).groupBy("_group")
+    state = some.agg(F.expr(f"approx_top_k_accumulate(_pair, {tracked})").alias("s")).agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
+    # the sketch's published layout: bytes 16 to 31 are the rows it has seen and its error
+    seen = state.select(F.expr(f"approx_top_k_estimate(s, {candidates})").alias("top"), F.expr("substring(s.sketch, 17, 16)").alias("head")).first()
+    if seen is None or seen.head is None or len(seen.head) < 16 or int.from_bytes(seen.head[:8], "little") != total:
+        return None
+    error = int.from_bytes(seen.head[8:], "little")
+    bound = max(2 * error, seen.top[-1]["count"] if len(seen.top) == candidates else 0)
+    rows = problem_subjects(flagged.filter(pair.isin([r["item"] for r in seen.top])), rules, k).collect()  # k rows
+    return rows if bound == 0 or (len(rows) == k and rows[-1]["count"] > bound) else None
+
+
 def batch_summary(assessed: DataFrame, rules: Rules) -> DataFrame:
     """A5: record count, flagged count and mean score per entity plus one total
     row (``level = 'total'``), computed as a single ROLLUP so the total is a

@@ -421,6 +421,9 @@ SELECT entity, '{{' || concat_ws(',',
 FROM lt"""
     q["stream_restart"] = q["stream_late"] = q["lake_compacted"] = q["stream_assess"]
     q["daily_incremental"] = q["trends"]
+    q["count_window_steps"] = q["count_window_zscore"]
+    q["problem_subjects_sketch"] = q["problem_subjects"]
+    q["problem_orders_sketch"] = q["problem_orders_lineitem"]
     q["daily_incremental_problems"] = q["problem_subjects"]
     q["stream_late_issues"] = f"""WITH {SCORED}
 SELECT entity, quality_score, count(*) AS issues FROM scored WHERE has_issues GROUP BY entity, quality_score"""

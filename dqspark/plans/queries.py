@@ -126,6 +126,21 @@ def q_count_window_zscore(spark, sf_dir):
     return present(a.select("event_id", "entity", "m1_zscore", "m1_anomaly", "m2_zscore", "m2_anomaly"))
 
 
+def q_count_window_steps(spark, sf_dir):
+    """X2 a part of the time at a time, each step from the last one's tail: what one run
+    over all rows gives."""
+    rows = event_readings(spark, sf_dir)
+    cuts = rows.select(F.percentile_approx(F.unix_micros(R.time), [0.4, 0.7])).first()[0]
+    at, out, tail = F.unix_micros(R.time), None, None
+    for step in range(3):
+        # rows without a time come first, as in the order of the windows
+        new = rows.filter(F.coalesce(sum((at > F.lit(c)).cast("int") for c in cuts), F.lit(0)) == step)
+        done, tail = ops.count_window_step(new, tail, R, ("event_id",))
+        tail = materialize(tail, "rowwin-tail")
+        out = done if out is None else out.unionByName(done)
+    return present(out.select("event_id", "entity", "m1_zscore", "m1_anomaly", "m2_zscore", "m2_anomaly"))
+
+
 # --- A1, J1, W5, W6, P5-P7, S7 -----------------------------------------------
 def q_window_stats(spark, sf_dir):
     ensure_conf(spark)
@@ -175,6 +190,10 @@ def q_problem_orders_lineitem(spark, sf_dir):
     return present(ops.problem_subjects(_lineitem_assessed(spark, sf_dir), LINEITEM_RULES))
 
 
+def q_problem_orders_sketch(spark, sf_dir):
+    return present(ops.problem_subjects_sketch(_lineitem_assessed(spark, sf_dir), LINEITEM_RULES))
+
+
 def q_trends_lineitem(spark, sf_dir):
     a = _lineitem_assessed(spark, sf_dir)
     return present(ops.trends(ops.daily_metrics(a, LINEITEM_RULES), LINEITEM_RULES))
@@ -196,6 +215,10 @@ def q_problem_subjects(spark, sf_dir):
     return present(ops.problem_subjects(_assessed(spark, sf_dir), R))
 
 
+def q_problem_subjects_sketch(spark, sf_dir):
+    return present(ops.problem_subjects_sketch(_assessed(spark, sf_dir), R))
+
+
 def q_daily_asof(spark, sf_dir):
     return present(ops.daily_report(_assessed(spark, sf_dir), R, ASOF_DATE))
 
@@ -315,6 +338,9 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "range_validity": q_range_validity,
         "null_percentage": q_null_percentage,
         "count_window_zscore": q_count_window_zscore,
+        "count_window_steps": q_count_window_steps,
+        "problem_subjects_sketch": q_problem_subjects_sketch,
+        "problem_orders_sketch": q_problem_orders_sketch,
         "window_stats": q_window_stats,
         "zscore_anomalies": q_zscore_anomalies,
         "quality_score": q_quality_score,
