@@ -109,7 +109,11 @@ def run_daily_incremental(spark: SparkSession, lake_path: str, state_path: str,
     if todo or not _dates(spark, f"{state_path}/daily"):
         update_states(changed(spark, lake_path, todo), state_path, rules)
     state = read_state(spark, state_path, "daily")
-    problems = top_subjects(read_state(spark, state_path, "subjects"), rules)
+    if _dates(spark, f"{state_path}/subjects"):
+        subjects = read_state(spark, state_path, "subjects")
+    else:  # no date has had an issue: there is no file to take the schema from
+        subjects = subject_state(read_lake(spark, lake_path).limit(0), rules, F.col(DATE))
+    problems = top_subjects(subjects, rules)
     return publish_results(spark, out_path, metrics_of(state, rules), problems, rules, written_at=written_at)
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.timewin import duration_micros, window_start
 from ..operators import assess, batch_summary, extract_issues, issue_json, with_severity
 from ..rules import Rules
+from ..session import scratch_scope
 from ..sources.lake import read_lake, with_date
 from ..sources.zones import forget_zones, write_zones
 
@@ -137,7 +138,11 @@ class StagedWindows:
         done.coalesce(1).write.mode("overwrite").parquet(f"{progress_path(self.checkpoint)}/of={batch_id}")
         self.last = (batch_id, newest, now_closed)
 
-    def _write(self, windows: list[int], batch_id: int, new=None, timeless: bool = False, final: bool = True) -> None:
+    def _write(self, *what, **how) -> None:
+        with scratch_scope(self.spark):  # a stream without end must not pile up statistics tables
+            self._assess(*what, **how)
+
+    def _assess(self, windows: list[int], batch_id: int, new=None, timeless: bool = False, final: bool = True) -> None:
         """Assess whole windows and replace their partitions in all sinks.  ``new``: which
         records are reported for the first time (None: all); not ``final``: the
         windows are still open, so no topic is told of them."""
